@@ -1,0 +1,11 @@
+"""All registered queries."""
+
+from millrace.registry import core, retail, statistics  # noqa: F401
+
+
+def all_queries():
+    return dict(core.QUERIES)
+
+
+def all_oracles():
+    return dict(core.ORACLES)
