@@ -53,13 +53,13 @@ def tokens(
 
 
 def char_ngrams(df: DataFrame, id_col: str, col: str, n: int = 3, compat: bool = False) -> DataFrame:
-    """One row (id, ngram) per character n-gram of a text's letters and digits."""
-    text = _clean(F.col(col), "a-z0-9", compat)
-    cleaned = df.where(F.col(col).isNotNull()).select(id_col, text.alias("t")).where(F.length("t") >= n)
-    starts = F.sequence(F.lit(1), F.length("t") - (n - 1))
-    return cleaned.select(id_col, "t", F.explode(starts).alias("p")).select(
-        id_col, F.substring(F.col("t"), F.col("p"), F.lit(n)).alias("ngram")
-    )
+    """One row (id, ngram) per character n-gram of a text's letters and digits.
+
+    A look-ahead match yields overlapping n-grams in one pass over the text; taking
+    substrings by position would walk the text again for each of them.
+    """
+    grams = F.regexp_extract_all(_clean(F.col(col), "a-z0-9", compat), F.lit(f"(?=(.{{{n}}}))"), F.lit(1))
+    return df.where(F.col(col).isNotNull()).select(id_col, F.explode(grams).alias("ngram"))
 
 
 def equal_freq_bins(df: DataFrame, col: str, n: int = 10, out: str = "bin") -> DataFrame:

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.registry import core, retail, statistics  # noqa: F401
+from millrace.registry import core, features, ingest, models, retail, statistics, texts  # noqa: F401
 
 
 def all_queries():

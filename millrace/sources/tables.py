@@ -53,8 +53,18 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions that occur in ``df``; writing twice changes nothing."""
-    _in_table_order(df, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    """Replace exactly the partitions that occur in ``df``; writing twice changes nothing.
+
+    ``insertInto`` takes the overwrite mode from the session only, so it is set for
+    the duration of the write.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        _in_table_order(df, table).write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
 
 
 def append(df: DataFrame, table: str) -> None:
