@@ -11,6 +11,7 @@ from millrace.functions import great_circle_m, hash63, hash_bucket
 from millrace.functions.constants import STOPWORDS
 from millrace.operators.ordering import exact_quantiles
 from millrace.operators.stats import one_row
+from millrace.session import materialize
 
 
 def one_hot(df: DataFrame, col: str, values: Sequence[str], prefix: str | None = None) -> DataFrame:
@@ -37,7 +38,7 @@ def hash_feature(df: DataFrame, col: str, n: int = 1024, out: str | None = None)
 
 def _clean(text: Column, keep: str, compat: bool) -> Column:
     """Lower-case and drop all other characters; ``compat`` drops before lower-casing."""
-    pattern = f"[^{keep}]"
+    pattern = f"[^{keep}]+"
     if compat:
         return F.lower(F.regexp_replace(text, pattern, ""))
     return F.regexp_replace(F.lower(text), pattern, "")
@@ -91,13 +92,13 @@ def target_encode_oof(
 ) -> DataFrame:
     """Out-of-fold target mean per category, shrunk by ``m`` rows towards the out-of-fold mean.
 
-    One scan builds the (category, fold) sums; all other totals derive from that small
-    table, and one join brings the encoding back to the rows.
+    One scan builds the (category, fold) sums, which are stored because four totals
+    derive from them (one eager job); one join brings the encoding back to the rows.
     """
     items = df.where(F.col(target).isNotNull())
-    cells = items.groupBy(category, fold).agg(
+    cells = materialize(items.groupBy(category, fold).agg(
         F.sum(target).cast("double").alias("cs"), F.count(F.lit(1)).alias("cn")
-    )
+    ))
     per_category = cells.groupBy(category).agg(F.sum("cs").alias("ks"), F.sum("cn").alias("kn"))
     per_fold = cells.groupBy(fold).agg(F.sum("cs").alias("fs"), F.sum("cn").alias("fn"))
     everything = one_row(cells.agg(F.sum("cs").alias("s"), F.sum("cn").alias("n")))

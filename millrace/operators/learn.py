@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from millrace.operators.evaluate import eval_metrics
 from millrace.operators.features import kfold
 from millrace.operators.ordering import positions
-from millrace.operators.stats import one_row
 from millrace.session import shared_folder
 from millrace.sources.tables import write_folder
 
@@ -377,7 +376,7 @@ def explain_linear(
 ) -> DataFrame:
     """Per-row attributions coefficient x (value - baseline mean), largest first."""
     weights = [float(w) for w in model.stages[-1].coefficients.toArray()]
-    means = one_row(baseline.agg(*[F.avg(c).alias(c) for c in cols]))
+    means = baseline.agg(*[F.avg(c).alias(c) for c in cols]).first()
     parts = F.array(*[
         F.struct(F.lit(c).alias("feature"), (F.lit(w) * (F.col(c) - means[c])).alias("attribution"))
         for c, w in zip(cols, weights)

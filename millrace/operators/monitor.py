@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.ordering import latest_per_key
@@ -147,9 +148,12 @@ def tenant_scope(df: DataFrame, col: str, value) -> DataFrame:
 
 def capped(df: DataFrame, order: Sequence[Column], n: int = 50) -> DataFrame:
     """The first ``n`` rows in order, each with ``has_more`` telling whether rows were left out."""
-    head = df.orderBy(*order).limit(n + 1)
-    more = head.agg((F.count(F.lit(1)) > n).alias("more")).scalar()
-    return head.orderBy(*order).limit(n).withColumn("has_more", more)
+    head = df.orderBy(*order).limit(n + 1).withColumn("_all", F.lit(0))
+    every = W.partitionBy("_all")  # over at most n + 1 rows
+    numbered = head.withColumn("has_more", F.count(F.lit(1)).over(every) > n).withColumn(
+        "_place", F.row_number().over(every.orderBy(*order))
+    )
+    return numbered.where(F.col("_place") <= n).drop("_place", "_all")
 
 
 def query_log_audit(df: DataFrame, sql_col: str, tenant_col: str, tenant: Column) -> DataFrame:

@@ -18,13 +18,6 @@ from pyspark.sql import Window as W
 from millrace.session import materialize
 
 
-def _same(left: str, right: str, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond
-
-
 def running_sums(
     df: DataFrame,
     order: Sequence[Column],
@@ -41,28 +34,31 @@ def running_sums(
     placed = materialize(
         df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id())
     )
-    inside = W.partitionBy(*by, "_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    # One struct as the group key: NULL groups are equal to each other, and the window
+    # and the join below share one hash partitioning.
+    group = F.struct(*keys) if by else F.lit(0)
+    placed = placed.withColumn("_group", group)
+    inside = W.partitionBy("_group", "_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     local = placed
     for s in sums:
         local = local.withColumn(f"{s}_local", F.coalesce(F.sum(s).over(inside), F.lit(0)))
 
-    anchor = list(by) if by else [F.lit(0)]
-    earlier = W.partitionBy(*anchor).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*anchor)
-    ranges = placed.groupBy(*by, "_range").agg(*[F.sum(s).alias(s) for s in sums])
+    earlier = W.partitionBy("_group").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy("_group")
+    ranges = placed.groupBy("_group", "_range").agg(*[F.sum(s).alias(s) for s in sums])
     offsets = ranges.select(
-        *by,
+        "_group",
         "_range",
         *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"{s}_offset") for s in sums],
         *[F.sum(s).over(whole).alias(f"{s}_total") for s in sums],
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per range: at most the number of shuffle partitions
-    joined = local.alias("l").join(offsets.alias("o"), _same("l", "o", [*by, "_range"]))
+    joined = local.join(offsets, ["_group", "_range"])
     return joined.select(
-        *[F.col(f"l.{c}") for c in df.columns],
-        *[(F.col(f"l.{s}_local") + F.col(f"o.{s}_offset")).alias(f"{s}_before") for s in sums],
-        *[F.col(f"o.{s}_total") for s in sums],
+        *df.columns,
+        *[(F.col(f"{s}_local") + F.col(f"{s}_offset")).alias(f"{s}_before") for s in sums],
+        *[F.col(f"{s}_total") for s in sums],
     )
 
 

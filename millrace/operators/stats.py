@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import chi2_sf, normal_cdf, plain_number
 from millrace.functions.constants import F_CRITICAL_05, NOT_SIGNIFICANT, SIGNIFICANT
 from millrace.functions.exprs import normal_tail
-from millrace.operators.ordering import _same, exact_quantiles, running_sums, value_counts
+from millrace.operators.ordering import exact_quantiles, value_counts
 
 
 def one_row(stats: DataFrame, name: str = "_s") -> Column:
@@ -82,14 +82,12 @@ def spearman(df: DataFrame, x: str, y: str, ties: str = "min") -> DataFrame:
 
     def ranks(col: str) -> DataFrame:
         mid = (F.col("n") + 1) / 2 if ties == "average" else F.lit(1.0)
-        return value_counts(both, col).select(col, (F.col("n_before") + mid).alias(f"r{col}"))
+        # Ranks from the middle of the table, which keeps the sums below small.
+        rank = F.col("n_before") + mid - F.col("n_total") / 2
+        return value_counts(both, col).select(col, rank.alias(f"r{col}"))
 
     ranked = pairs.join(ranks("x"), "x").join(ranks("y"), "y")
-    w = F.col("w").cast("double")
-    rx, ry = F.col("rx"), F.col("ry")
-    # Centre on the middle rank to keep the sums small before subtracting.
-    half = one_row(both.agg((F.count(F.lit(1)) / 2.0).alias("h")))["h"]
-    centred = ranked.select(w.alias("w"), (rx - half).alias("a"), (ry - half).alias("b"))
+    centred = ranked.select(F.col("w").cast("double").alias("w"), F.col("rx").alias("a"), F.col("ry").alias("b"))
     s = centred.agg(
         F.sum("w").alias("n"),
         F.sum(F.col("w") * F.col("a")).alias("sa"),

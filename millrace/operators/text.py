@@ -63,7 +63,8 @@ def pack_text(
     df: DataFrame,
     group: str,
     text: Column,
-    order: Sequence[Column],
+    order: Sequence[str],
+    ascending: bool = False,
     sep: str = PACK_SEPARATOR,
     part_rows: int = 1000,
 ) -> DataFrame:
@@ -71,9 +72,11 @@ def pack_text(
 
     A group of up to ``part_rows`` rows gives one row, with ``part`` = 0.  A larger one
     goes on in further parts (nothing is dropped), so no task or string holds an
-    unbounded group.  ``order`` must be total inside a group.
+    unbounded group.  ``order`` columns (newest first by default) must be total inside
+    a group: end them with a unique key.
     """
-    placed = positions(df.withColumn("_text", text), order, [group])
+    rows = df.select(group, *order, text.alias("_text"))
+    placed = positions(rows, [F.col(c).asc() if ascending else F.col(c).desc() for c in order], [group])
     entry = F.struct(F.col("pos"), F.col("_text"))
     part = F.floor(F.col("pos") / part_rows).cast("int").alias("part")
     packed = placed.groupBy(group, part).agg(
@@ -130,5 +133,7 @@ def query_tokens(text: Column) -> Column:
 
 def lexical_hits(content: Column, query: Column) -> Column:
     """How many query words (an array) occur in the content as whole words."""
-    words = F.split(F.lower(content), "[^a-z0-9]+")
-    return F.size(F.filter(query, lambda t: F.array_contains(words, t)))
+    words = F.array_distinct(F.split(F.lower(content), "[^a-z0-9]+"))
+    # Bound as a lambda variable, the word list is made once and not once per query word.
+    counts = F.transform(F.array(words), lambda w: F.size(F.filter(query, lambda t: F.array_contains(w, t))))
+    return counts[0]

@@ -23,8 +23,8 @@ def latest_snapshot(df: DataFrame, ts: str = "ingest_ts") -> DataFrame:
     return df.where(F.col(ts) == newest)
 
 
-def stg_customers(bronze: DataFrame, ts: str = "ingest_ts") -> DataFrame:
-    return latest_snapshot(bronze, ts).select(
+def silver_customers(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.col("id").cast("long").alias("customer_id"),
         F.col("name").alias("customer_name"),
         "email",
@@ -33,8 +33,8 @@ def stg_customers(bronze: DataFrame, ts: str = "ingest_ts") -> DataFrame:
     )
 
 
-def stg_products(bronze: DataFrame, ts: str = "ingest_ts", numeric: str = NUMERIC) -> DataFrame:
-    return latest_snapshot(bronze, ts).select(
+def silver_products(rows: DataFrame, numeric: str = NUMERIC) -> DataFrame:
+    return rows.select(
         F.col("id").cast("long").alias("product_id"),
         F.col("name").alias("product_name"),
         "category",
@@ -43,8 +43,8 @@ def stg_products(bronze: DataFrame, ts: str = "ingest_ts", numeric: str = NUMERI
     )
 
 
-def stg_orders(bronze: DataFrame, ts: str = "ingest_ts", numeric: str = NUMERIC) -> DataFrame:
-    return latest_snapshot(bronze, ts).select(
+def silver_orders(rows: DataFrame, numeric: str = NUMERIC) -> DataFrame:
+    return rows.select(
         F.col("id").cast("long").alias("order_id"),
         F.col("customer_id").cast("long").alias("customer_id"),
         F.col("product_id").cast("long").alias("product_id"),
@@ -56,6 +56,18 @@ def stg_orders(bronze: DataFrame, ts: str = "ingest_ts", numeric: str = NUMERIC)
     )
 
 
+def stg_customers(bronze: DataFrame, ts: str = "ingest_ts") -> DataFrame:
+    return silver_customers(latest_snapshot(bronze, ts))
+
+
+def stg_products(bronze: DataFrame, ts: str = "ingest_ts", numeric: str = NUMERIC) -> DataFrame:
+    return silver_products(latest_snapshot(bronze, ts), numeric)
+
+
+def stg_orders(bronze: DataFrame, ts: str = "ingest_ts", numeric: str = NUMERIC) -> DataFrame:
+    return silver_orders(latest_snapshot(bronze, ts), numeric)
+
+
 def dim_customers(stg: DataFrame) -> DataFrame:
     return stg.drop("ingest_time")
 
@@ -135,16 +147,7 @@ def live_orders_latest(
         & (F.col("ingest_ts") >= F.lit(since))
     )
     order = [F.desc("ingest_ts")] + ([F.desc(tiebreak)] if tiebreak else [])
-    return latest_per_key(recent, ["id"], order).select(
-        F.col("id").cast("long").alias("order_id"),
-        F.col("customer_id").cast("long").alias("customer_id"),
-        F.col("product_id").cast("long").alias("product_id"),
-        F.col("quantity").cast("long").alias("quantity"),
-        F.col("unit_price").cast(numeric).alias("unit_price"),
-        F.col("total_amount").cast(numeric).alias("total_amount"),
-        "created_at",
-        F.col("ingest_ts").alias("ingest_time"),
-    )
+    return silver_orders(latest_per_key(recent, ["id"], order), numeric)
 
 
 def time_spine(spark: SparkSession, start: str = "2000-01-01", end: str = "2050-01-01") -> DataFrame:
@@ -162,8 +165,12 @@ def time_spine_of(df: DataFrame, ts: str) -> DataFrame:
 
 
 def _days(span: DataFrame) -> DataFrame:
-    days = F.sequence(F.col("a"), F.date_sub(F.col("b"), 1), F.expr("interval 1 day"))
-    return span.where(F.col("a") < F.col("b")).select(F.explode(days).alias("date_day"))
+    n = F.date_diff(F.col("b"), F.col("a"))
+    steps = span.select("a", n.alias("n"), F.explode(F.sequence(F.lit(0), n)).alias("i"))
+    # A sequence to 0 or below is not empty in Spark, so the bounds are checked here.
+    return steps.where((F.col("i") >= 0) & (F.col("i") < F.col("n"))).select(
+        F.date_add("a", F.col("i")).alias("date_day")
+    )
 
 
 def build_all(bronze: dict[str, DataFrame], write) -> dict[str, DataFrame]:

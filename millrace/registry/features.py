@@ -43,16 +43,13 @@ STOP_SQL = ", ".join(f"'{w}'" for w in c.STOPWORDS)
 def tokens_sql(clean: str) -> str:
     return f"""
 WITH w AS (
-  SELECT doc_id, unnest(string_split({clean}, ' ')) AS token FROM documents)
-SELECT token, count(*) AS n, count(DISTINCT doc_id) AS docs FROM w
+  SELECT unnest(string_split({clean}, ' ')) AS token FROM documents)
+SELECT token, count(*) AS n FROM w
 WHERE token <> '' AND token NOT IN ({STOP_SQL}) GROUP BY token"""
 
 
 def token_counts(t, compat):
-    words = f.tokens(t.documents, "doc_id", "text", compat=compat)
-    # Count per (token, document) first: documents per token then need no distinct.
-    per_doc = words.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    return f.tokens(t.documents, "doc_id", "text", compat=compat).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("tokens_no_stopwords", tokens_sql("regexp_replace(lower(text), '[^a-z0-9 ]', '', 'g')"))
@@ -66,13 +63,11 @@ def _(t):
 
 
 @query("char_trigrams", """
-WITH d AS (SELECT doc_id, regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS s FROM documents),
-g AS (SELECT doc_id, substr(s, unnest(range(1, length(s) - 1)), 3) AS ngram FROM d WHERE length(s) >= 3)
-SELECT ngram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY ngram""")
+WITH d AS (SELECT regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS s FROM documents),
+g AS (SELECT substr(s, unnest(range(1, length(s) - 1)), 3) AS ngram FROM d WHERE length(s) >= 3)
+SELECT ngram, count(*) AS n FROM g GROUP BY ngram""")
 def _(t):
-    grams = f.char_ngrams(t.documents, "doc_id", "text")
-    per_doc = grams.groupBy("ngram", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_doc.groupBy("ngram").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("docs"))
+    return f.char_ngrams(t.documents, "doc_id", "text").groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cut_sql(i: int) -> str:

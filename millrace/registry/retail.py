@@ -80,8 +80,7 @@ def _(t):
 
 @query("fct_orders", f"WITH {i.ORDERS} SELECT {STG_SELECT} FROM fct")
 def _(t):
-    bronze = i.raw_orders(t).withColumn("ingest_ts", F.lit(i.NEWER))
-    fct = lh.fct_orders(lh.stg_orders(bronze))
+    fct = i.fct_orders(t, lh.NUMERIC)
     return fct.withColumns({c: number(c) for c in ("unit_price", "total_amount")}).withColumn(
         "created_at", text("created_at")
     )
@@ -126,8 +125,7 @@ SELECT customer_id, customer_name, country, product_name, category, quantity,
        CAST(price AS DOUBLE) AS price
 FROM fct JOIN products USING (product_id) JOIN customers USING (customer_id)""")
 def _(t):
-    bronze = i.raw_orders(t).withColumn("ingest_ts", F.lit(i.NEWER))
-    joined = lh.star_join(lh.fct_orders(lh.stg_orders(bronze)), i.dim_products(t), i.dim_customers(t))
+    joined = lh.star_join(i.fct_orders(t, lh.NUMERIC), i.dim_products(t), i.dim_customers(t))
     return joined.withColumns({c: number(c) for c in ("total_amount", "unit_price", "price")})
 
 

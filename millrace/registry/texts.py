@@ -42,7 +42,7 @@ def _(t):
     as_of = dt.datetime(2024, 1, 15)
     recent = i.tickets(t).where(F.col("created_at") >= F.lit(as_of - dt.timedelta(days=7)))
     entry = F.concat(F.lit("Subject: "), F.col("subject"), F.lit("\nBody: "), F.col("body"))
-    return x.pack_text(recent, "product_id", entry, [F.desc("created_at"), F.desc("ticket_id")], part_rows=10)
+    return x.pack_text(recent, "product_id", entry, ["created_at", "ticket_id"], part_rows=10)
 
 
 def triage_prompts(t):
@@ -307,7 +307,7 @@ def _(t):
 def _(t):
     """One summary per packed part of a product's tickets."""
     entry = F.concat(F.lit("Subject: "), F.col("subject"), F.lit("\nBody: "), F.col("body"))
-    packed = x.pack_text(i.tickets(t), "product_id", entry, [F.desc("created_at"), F.desc("ticket_id")], part_rows=10)
+    packed = x.pack_text(i.tickets(t), "product_id", entry, ["created_at", "ticket_id"], part_rows=10)
     prompt = x.fill(c.SUMMARY_TEMPLATE, {"product_id": F.col("product_id"), "ticket_text": F.col("packed_text")})
     return g.generate(packed.withColumn("prompt", prompt), "prompt", out="issue_summary").select(
         "product_id", "part", "item_count", "issue_summary"

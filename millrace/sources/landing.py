@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.constants import (
     BATCH_ORDER_DEFAULTS,
@@ -140,8 +141,7 @@ def parse_or_wrap(df: DataFrame, raw: str, schema: str) -> DataFrame:
 
     A field of the wrong type becomes NULL but the row still counts as JSON.
     """
-    fields = [part.strip() for part in schema.split(",")]
-    names = [f.split()[0] for f in fields]
+    names = StructType.fromDDL(schema).names
     parsed = F.from_json(F.col(raw), schema, {"mode": "PERMISSIVE"})
     is_json = F.try_parse_json(F.col(raw)).isNotNull()
     return df.withColumn("_parsed", parsed).withColumn("_is_json", is_json).select(

@@ -52,6 +52,15 @@ def _in_table_order(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target])
 
 
+def _by_partition(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together, so that it is not written as one file per task.
+
+    The rebalance hint lets adaptive execution split a hot partition over many tasks
+    and combine small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partitions]) if partitions else df
+
+
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions that occur in ``df``; writing twice changes nothing.
 
@@ -61,8 +70,9 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
     before = conf.get(key)
     conf.set(key, "dynamic")
+    partitions = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
     try:
-        _in_table_order(df, table).write.mode("overwrite").insertInto(table)
+        _by_partition(_in_table_order(df, table), partitions).write.mode("overwrite").insertInto(table)
     finally:
         conf.set(key, before)
 
@@ -74,7 +84,8 @@ def append(df: DataFrame, table: str) -> None:
 
 def write_folder(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
     """Partition-idempotent write to a parquet folder without a catalog entry."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    writer = _by_partition(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
 
 
 def replace_table(df: DataFrame, table: str, location: str | None = None) -> None:
