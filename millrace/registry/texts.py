@@ -314,7 +314,20 @@ def _(t):
     )
 
 
-@query("generate_table")
+def has_any_sql(words) -> str:
+    return "(" + " OR ".join(f"contains(ticket, '{w}')" for w in words) + ")"
+
+
+@query("generate_table", f"""
+WITH {i.TICKETS}, p AS (
+  SELECT ticket_id, 'product id: ' || lower({clean_sql("product_id")}) || chr(10) || 'subject: '
+         || lower({clean_sql("subject")}) || chr(10) || 'body: ' || lower({clean_sql(email_sql("body"))}) AS ticket
+  FROM tickets WHERE status IN ('open', 'in_progress')),
+k AS (SELECT ticket_id, {has_any_sql(g.HIGH_WORDS)} AS high,
+             CASE {" ".join(f"WHEN {has_any_sql(ws)} THEN '{name}'" for name, ws in g.TRIAGE_WORDS.items())}
+                  ELSE 'other' END AS issue_category FROM p)
+SELECT ticket_id, issue_category, CASE WHEN high THEN 'high' ELSE 'medium' END AS severity,
+       high AS needs_engineering, 'Matched keywords of ' || issue_category AS short_rationale FROM k""")
 def _(t):
     return x.triage_enforce(g.generate_table(triage_prompts(t), "prompt"))
 
