@@ -90,6 +90,9 @@ INGEST_HR_PATTERN = r"ingest_hr=([0-9]{2})"
 # Timestamp formats of created_at, tried in this order.
 CREATED_AT_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
+# The one format accepted in live orders.
+STREAM_CREATED_AT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 # Defaults of ingested orders.
 BATCH_ORDER_DEFAULTS = {"status": "created", "source": "batch_snapshot"}
 STREAM_ORDER_DEFAULTS = {"status": "unknown", "source": "pubsub"}

@@ -12,10 +12,12 @@ from millrace.functions.constants import (
     INGEST_DT_PATTERN,
     INGEST_HR_PATTERN,
     QUARANTINE_REASON,
+    STREAM_CREATED_AT_FORMAT,
     STREAM_ORDER_DEFAULTS,
 )
 from millrace.operators.quality import order_rule, split
-from millrace.sources.landing import SCHEMAS, parse_first, path_part, unit_price
+from millrace.sources.landing import SCHEMAS, path_part, unit_price
+from millrace.sources.tables import BRONZE_TABLES, ensure_table
 
 # Fixed value: columns of the live-orders table, partition columns last.
 LIVE_COLUMNS = (
@@ -53,7 +55,7 @@ def stream_normalize(df: DataFrame, now: Column | None = None) -> DataFrame:
         "currency",
         *[F.lit(v).alias(c) for c, v in STREAM_ORDER_DEFAULTS.items()],
         "created_at",
-        parse_first(F.col("created_at"), ("yyyy-MM-dd HH:mm:ss.SSSSSS",)).alias("created_at_ts"),
+        F.try_to_timestamp(F.col("created_at"), F.lit(STREAM_CREATED_AT_FORMAT)).alias("created_at_ts"),
         F.col("_pubsub_message_id").alias("pubsub_message_id"),
         F.try_to_timestamp(F.col("_pubsub_publish_time")).alias("pubsub_publish_time"),
         F.try_to_timestamp(F.col("_ingest_time_utc")).alias("ingest_time_utc"),
@@ -119,6 +121,14 @@ def start_orders_stream(
     return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
 
 
+def live_orders_table(spark: SparkSession, table: str, table_path: str) -> DataFrame:
+    """The stream's folder as a catalog table with all partitions written so far."""
+    columns, partitions = BRONZE_TABLES["live_orders"]
+    ensure_table(spark, table, columns, partitions, location=table_path)
+    spark.catalog.recoverPartitions(table)
+    return spark.table(table)
+
+
 def ttl_seconds(ttl: str) -> int:
     """'10m', '2h' or plain seconds."""
     m = re.fullmatch(r"\s*(\d+)\s*([smh]?)\s*", ttl.lower())

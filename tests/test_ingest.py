@@ -107,6 +107,17 @@ def test_overwrite_partitions_is_idempotent(spark, tmp_path):
     assert spark.table(name).isEmpty()
 
 
+def test_namespace_and_append(spark, tmp_path):
+    db = f"bronze_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        tb.ensure_table(spark, f"{db}.items", "id bigint, v string, day string", ["day"])
+    rows = spark.createDataFrame([("2026-01-06", "x", 1)], "day string, v string, id int")
+    tb.append(rows, f"{db}.items")
+    tb.append(rows, f"{db}.items")
+    assert [tuple(r) for r in spark.table(f"{db}.items").distinct().collect()] == [(1, "x", "2026-01-06")]
+    assert spark.table(f"{db}.items").count() == 2
+
+
 def test_upsert(spark):
     target = spark.createDataFrame([(1, "a", "x", 0), (2, "b", "y", 0)], "k int, v string, keep string, at int")
     delta = spark.createDataFrame([(2, "B", "Z"), (3, "C", "W")], "k int, v string, keep string")
@@ -161,13 +172,16 @@ class Stream:
 def test_stream_restart_and_quarantine(spark, tmp_path):
     s = Stream(spark, tmp_path)
     s.file("a.json", [{"id": 1, **LINE}, {"id": 2, **LINE, "quantity": 0}, {"id": 3, **LINE, "currency": ""},
-                      "not json", {"id": 4, **LINE, "created_at": "soon"}, {"id": 5, **LINE, "total_amount": "x"}])
+                      "not json", {"id": 4, **LINE, "created_at": "soon"}, {"id": 5, **LINE, "total_amount": "x"},
+                      {"id": 7, **LINE, "created_at": "2026-01-06T11:26:26.043133"}])
     s.run()
-    assert [r["id"] for r in s.rows()] == [1] and len(s.rows("quarantine")) == 5
+    assert [r["id"] for r in s.rows()] == [1] and len(s.rows("quarantine")) == 6
     s.file("b.json", [{"id": 1, **LINE, "quantity": 2}, {"id": 6, **LINE}])
     s.run()
     s.run()
     assert sorted(r["id"] for r in s.rows()) == [1, 1, 6]
+    table = live.live_orders_table(spark, f"live_{uuid.uuid4().hex[:10]}", str(tmp_path / "table"))
+    assert sorted(r["id"] for r in table.collect()) == [1, 1, 6]
     row = s.rows()[0]
     assert (row["ingest_dt"], row["ingest_hr"], row["status"], row["source"]) == ("2026-01-06", "05", "unknown", "pubsub")
     assert {r["quarantine_reason"] for r in s.rows("quarantine")} == {"failed_minimal_validation"}

@@ -29,7 +29,7 @@ def brute(q, b, k):
     return {(i, int(j)) for i in range(len(q)) for j in np.lexsort((np.arange(len(b)), d[i]))[:k]}
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "block_rows": 60}, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "block_bytes": 1000}, {"broadcast_bytes": 0}])
 def test_vector_search_is_exact_both_ways(spark, limits):
     # A third of the base are copies of one vector, more than k of them.
     q, b = vectors(37, 8, 1), vectors(300, 8, 2, copies=100)
