@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import great_circle_m, hash63, hash_bucket
 from millrace.functions.constants import STOPWORDS
-from millrace.operators.ordering import exact_quantiles
+from millrace.operators.ordering import column_quantiles
 from millrace.operators.stats import one_row
 from millrace.session import materialize
 
@@ -67,7 +67,7 @@ def equal_freq_bins(df: DataFrame, col: str, n: int = 10, out: str = "bin") -> D
     """Bins 1 .. n of nearly equal size from exact interpolated quantiles."""
     present = df.where(F.col(col).isNotNull())
     probs = {f"q{i}": i / n for i in range(1, n)}
-    cuts = one_row(exact_quantiles(present, col, probs))
+    cuts = one_row(column_quantiles(present, [col], probs))
     label = F.lit(n)
     for i in range(n - 1, 0, -1):
         label = F.when(F.col(col) < cuts[f"q{i}"], i).otherwise(label)

@@ -9,7 +9,9 @@ per (group, range), so with no group it has at most one row per shuffle partitio
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,35 +87,106 @@ def value_counts(
     return running_sums(counted, [order], list(measures), by)
 
 
-def exact_quantiles(
+def column_quantiles(
     df: DataFrame,
-    col: str,
+    cols: Sequence[str],
     probs: Mapping[str, float],
-    by: Sequence[str] = (),
     interpolate: bool = True,
+    accuracy: int = 10000,
+    small: int = 100_000,
 ) -> DataFrame:
-    """Exact quantiles per group, one column per entry of ``probs``.
+    """Exact quantiles of several columns: one row (``variable``, one column per entry of ``probs``).
 
     ``interpolate=True`` follows PERCENTILE_CONT, otherwise PERCENTILE_DISC.
+
+    A sketch first gives a narrow window of values around each quantile and a second
+    scan counts what lies below it; then only the values inside the windows (a few
+    ten-thousandths of the rows) are shuffled and ranked.  If a window turns out not to
+    hold its quantile, or the column has no more than ``small`` values, the whole
+    column is ranked instead.  The two scans are eager and bring one row each to the
+    driver.
     """
-    ranked = value_counts(df, col, by)
-    before, upto, total = F.col("n_before"), F.col("n_before") + F.col("n"), F.col("n_total")
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((before <= position) & (position < upto), F.col(col)))
-
-    aggs, outs = [], []
-    for name, p in probs.items():
-        if interpolate:
-            pos = F.lit(float(p)) * (total - 1)
-            aggs += [at(F.floor(pos)).alias(f"{name}_lo"), at(F.ceil(pos)).alias(f"{name}_hi"),
-                     F.max(pos - F.floor(pos)).alias(f"{name}_w")]
-            lo, hi, w = (F.col(f"{name}_{s}") for s in ("lo", "hi", "w"))
-            outs.append((lo + (hi - lo) * w).alias(name))
-        else:
-            aggs.append(at(F.greatest(F.ceil(F.lit(float(p)) * total) - 1, F.lit(0))).alias(name))
-            outs.append(F.col(name))
-    return ranked.groupBy(*by).agg(*aggs).select(*by, *outs)
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    margin = 2 / accuracy
+    edges = [e for p in probs.values() for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = data.agg(*[
+        F.struct(
+            F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"),
+            F.percentile_approx(c, edges, accuracy).alias("edges"),
+        ).alias(c)
+        for c in cols
+    ]).first()
+
+    # Per column and quantile: the wanted positions, and the window of values to rank.
+    wanted, window = {}, {}
+    for c in cols:
+        n = sketch[c]["n"]
+        for i, (name, p) in enumerate(probs.items() if n else ()):
+            if interpolate:
+                wanted[c, name] = math.floor(p * (n - 1)), math.ceil(p * (n - 1))
+            else:
+                wanted[c, name] = (max(math.ceil(p * n) - 1, 0),) * 2
+            whole = (sketch[c]["lo"], sketch[c]["hi"])
+            window[c, name] = whole if n <= small else tuple(sketch[c]["edges"][2 * i: 2 * i + 2])
+    if not wanted:
+        return data.sparkSession.createDataFrame([], "variable string, " + ", ".join(f"{q} double" for q in probs))
+
+    narrowed = [key for key in wanted if sketch[key[0]]["n"] > small]
+    if narrowed:
+        counts = data.agg(*[
+            F.struct(F.count_if(F.col(c) < window[c, q][0]), F.count_if(F.col(c) <= window[c, q][1]))
+            for c, q in narrowed
+        ]).first()
+        for (c, q), (below, upto) in zip(narrowed, counts):
+            first, last = wanted[c, q]
+            if below <= first and last < upto:
+                wanted[c, q] = first - below, last - below
+            else:
+                window[c, q] = sketch[c]["lo"], sketch[c]["hi"]
+
+    # Quantiles with the same window share its ranked values.
+    spans = sorted({(c, window[c, q]) for c, q in wanted})
+
+    def within(c: str, span: tuple[float, float]) -> Column:
+        return F.col(c).between(*span)
+
+    cells = [
+        F.when(within(*span), F.struct(F.lit(i).alias("span"), F.col(span[0]).alias("value")))
+        for i, span in enumerate(spans)
+    ]
+    values = (
+        data.where(reduce(lambda x, y: x | y, [within(*span) for span in spans]))
+        .select(F.explode(F.filter(F.array(*cells), lambda e: e.isNotNull())).alias("e"))
+        .groupBy("e.span", "e.value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = running_sums(values, [F.col("value")], ["n"], ["span"])
+
+    def value_at(c: str, q: str, position: int) -> Column:
+        here = F.col("span") == spans.index((c, window[c, q]))
+        return F.max(F.when(
+            here & (F.col("n_before") <= position) & (F.lit(position) < F.col("n_before") + F.col("n")), F.col("value")
+        ))
+
+    # One row of all wanted values, then one row per column.
+    found = ranked.agg(*[
+        value_at(c, q, wanted[c, q][side]).alias(f"{i}_{side}")
+        for i, (c, q) in enumerate(wanted) for side in (0, 1)
+    ])
+
+    def quantile(c: str, q: str) -> Column:
+        if (c, q) not in wanted:
+            return F.lit(None).cast("double")
+        i = list(wanted).index((c, q))
+        low, high = F.col(f"{i}_0"), F.col(f"{i}_1")
+        position = probs[q] * (sketch[c]["n"] - 1)
+        return low + (high - low) * F.lit(float(position - math.floor(position))) if interpolate else low
+
+    rows = [
+        F.struct(F.lit(c).alias("variable"), *[quantile(c, q).alias(q) for q in probs])
+        for c in cols if sketch[c]["n"]
+    ]
+    return found.select(F.inline(F.array(*rows)))
 
 
 def positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:

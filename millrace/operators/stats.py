@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import chi2_sf, normal_cdf, plain_number
 from millrace.functions.constants import F_CRITICAL_05, NOT_SIGNIFICANT, SIGNIFICANT
 from millrace.functions.exprs import normal_tail
-from millrace.operators.ordering import exact_quantiles, value_counts
+from millrace.operators.ordering import column_quantiles, value_counts
 
 
 def one_row(stats: DataFrame, name: str = "_s") -> Column:
@@ -30,8 +30,8 @@ def dataset_stats(
     All moments come from one scan and one row of partial results per task; the
     wide result is turned into rows afterwards, so input rows are never multiplied.
     ``skewness`` and ``kurtosis`` put population moments over the sample deviation.
-    ``median='approx'`` uses a bounded sketch in the same scan, ``'exact'`` counts
-    distinct values (a shuffle of the distinct values).
+    ``median='approx'`` takes a bounded sketch in a scan of its own (beside a sketch
+    Spark would run the moments without code generation); ``'exact'`` refines it.
     ``drop_nulls=True`` leaves NULLs out of the null count, as UNPIVOT does.
     """
     aggs = []
@@ -45,7 +45,6 @@ def dataset_stats(
                 F.count(x).alias("num_records"),
                 (F.lit(0) if drop_nulls else F.count(F.lit(1)) - F.count(x)).cast("bigint").alias("num_nulls"),
                 F.min(x).alias("min"),
-                F.percentile_approx(x, 0.5, accuracy).alias("median"),
                 F.avg(x).alias("average"),
                 F.max(x).alias("max"),
                 F.stddev_samp(x).alias("stddev"),
@@ -54,16 +53,19 @@ def dataset_stats(
                 ((F.kurtosis(x) + 3) * F.pow(shrink, 2.0)).alias("kurtosis"),
             ).alias(c)
         )
-    profile = df.agg(*aggs).select(F.explode(F.array(*cols)).alias("p")).select("p.*")
-    if median == "approx":
-        return profile
-    long = df.select(
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols
-        ])).alias("v")
-    ).select("v.*")
-    mid = exact_quantiles(long, "value", {"median": 0.5}, by=["variable"], interpolate=False)
-    return profile.drop("median").join(mid, "variable", "left").select(profile.columns)
+    moments = df.agg(*aggs).select(F.inline(F.array(*cols)))
+    if median == "exact":
+        middle = column_quantiles(df, cols, {"median": 0.5}, interpolate=False)
+    else:
+        sketches = [
+            F.struct(F.lit(c).alias("variable"), F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias("median"))
+            .alias(c) for c in cols
+        ]
+        middle = df.agg(*sketches).select(F.inline(F.array(*cols)))
+    return moments.join(middle, "variable", "left").select(
+        "variable", "num_records", "num_nulls", "min", "median", "average", "max",
+        "stddev", "variance", "skewness", "kurtosis",
+    )
 
 
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -129,10 +131,10 @@ def percentile_outliers(
 ) -> DataFrame:
     """Rows below the ``lo`` or above the ``hi`` percentile, with both limits.
 
-    ``'approx'`` keeps a bounded sketch per task; ``'exact'`` ranks distinct values.
+    ``'approx'`` keeps a bounded sketch per task; ``'exact'`` refines it in two more scans.
     """
     if method == "exact":
-        limits = exact_quantiles(df, col, {"p_lo": lo, "p_hi": hi}, interpolate=False)
+        limits = column_quantiles(df, [col], {"p_lo": lo, "p_hi": hi}, interpolate=False)
     else:
         limits = df.agg(
             F.percentile_approx(col, lo, accuracy).alias("p_lo"),

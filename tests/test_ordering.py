@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import features as f
-from millrace.operators.ordering import exact_quantiles, latest_per_key, positions, value_counts
+from millrace.operators.ordering import column_quantiles, latest_per_key, positions, value_counts
 from millrace.operators.text import pack_text
 
 
@@ -42,15 +42,24 @@ def test_value_counts_running_totals(skewed):
 
 
 @pytest.mark.parametrize("interpolate", [True, False])
-def test_exact_quantiles_per_group(skewed, interpolate):
+@pytest.mark.parametrize("how", [{}, {"small": 0}, {"small": 0, "accuracy": 20}])
+def test_column_quantiles(spark, skewed, interpolate, how):
     rows, df = skewed
+    df = df.withColumn("w", F.when(F.col("g").isNotNull(), F.col("id") % 997 / 7)).withColumn("none", F.lit(None))
     probs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.99, "e": 1.0}
-    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, ["g"], interpolate).collect()}
-    for g in {r[1] for r in rows}:
-        v = np.array([r[2] for r in rows if r[1] == g])
-        method = "linear" if interpolate else "inverted_cdf"
+    got = {r["variable"]: r for r in column_quantiles(df, ["v", "w", "none"], probs, interpolate, **how).collect()}
+    assert set(got) == {"v", "w"}
+    method = "linear" if interpolate else "inverted_cdf"
+    for c, values in (("v", [r[2] for r in rows]), ("w", [r[0] % 997 / 7 for r in rows if r[1] is not None])):
         for name, p in probs.items():
-            assert np.isclose(got[g][name], np.quantile(v, p, method=method)), (g, name)
+            assert np.isclose(got[c][name], np.quantile(values, p, method=method)), (c, name)
+
+
+def test_column_quantiles_when_the_sketch_misses(spark):
+    # Far too coarse a sketch: the windows miss, so whole columns are ranked.
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v")).repartition(40)
+    out = column_quantiles(df, ["v"], {"m": 0.5, "q": 0.9}, accuracy=2, small=0).first()
+    assert (out["m"], out["q"]) == (2499.5, 4499.1)
 
 
 def test_latest_per_key_cuts_before_the_shuffle(skewed):
