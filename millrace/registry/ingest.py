@@ -263,7 +263,7 @@ def streamed(t):
     order_lines(t).write.partitionBy("ingest_dt", "ingest_hr").json(f"{root}/in")
     job = live.start_orders_stream(
         t.spark, f"{root}/in", f"{root}/table", f"{root}/quarantine", f"{root}/checkpoint",
-        max_files=50, trigger_seconds=None, now=ingest_clock(),
+        max_files=50, trigger_seconds=None, now=ingest_clock(), name=f"live_orders_{uuid.uuid4().hex}",
     )
     live.run_for(job)
     return f"{root}/table", f"{root}/quarantine"

@@ -300,10 +300,21 @@ def _(t):
     return merged.select("vec_id", "content", F.col("embedding")[0].cast("double").alias("first_value"), "state")
 
 
-# ---- generation through offline providers
+# ---- generation through offline providers: the SQL repeats what the extractive provider picks
 
 
-@query("generate_text")
+def first_sentence_sql(text: str) -> str:
+    """First sentence of the first line that is not blank."""
+    line = rf"regexp_extract({text}, '^\n*([^\n]+)', 1)"
+    return rf"coalesce(nullif(regexp_extract({line}, '^\s*(.*?[.!?])\s', 1), ''), trim({line}))"
+
+
+@query("generate_text", rf"""
+WITH {i.TICKETS}, o AS (
+  SELECT product_id, 'Subject: ' || subject AS head,
+         row_number() OVER (PARTITION BY product_id ORDER BY created_at DESC, ticket_id DESC) - 1 AS pos FROM tickets)
+SELECT product_id, CAST(pos // 10 AS INTEGER) AS part, count(*) AS item_count,
+       trim(arg_min(head, pos)) AS issue_summary FROM o GROUP BY 1, 2""")
 def _(t):
     """One summary per packed part of a product's tickets."""
     entry = F.concat(F.lit("Subject: "), F.col("subject"), F.lit("\nBody: "), F.col("body"))
@@ -332,12 +343,21 @@ def _(t):
     return x.triage_enforce(g.generate_table(triage_prompts(t), "prompt"))
 
 
-@query("rag_answer")
+@query("rag_answer", f"""
+WITH {RETRIEVED},
+first AS (SELECT conv_id AS ticket_id, arg_min(text, turn) AS ticket_text FROM conversations WHERE role = 'user' GROUP BY 1)
+SELECT run_id, ticket_id,
+       {first_sentence_sql("any_value(ticket_text)")} || ' ' || {first_sentence_sql("arg_min(content, place)")}
+         AS draft_reply,
+       string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY place) AS retrieved_chunk_ids,
+       array_to_string(list_sort(list_distinct(list(article_id))), ',') AS retrieved_article_ids
+FROM found JOIN first USING (ticket_id) GROUP BY 1, 2""")
 def _(t):
     first = t.conversations.where(F.col("role") == "user").groupBy(F.col("conv_id").alias("ticket_id")).agg(
         F.min_by("text", "turn").alias("ticket_text")
     )
-    return g.rag_answer(rt.rag_context(retrieved(t)), first, c.REPLY_TEMPLATE)
+    out = g.rag_answer(rt.rag_context(retrieved(t)), first, c.REPLY_TEMPLATE)
+    return out.withColumns({n: joined(n) for n in ("retrieved_chunk_ids", "retrieved_article_ids")})
 
 
 # ---- call log
@@ -447,7 +467,12 @@ def _(t):
     return m.cache_misses(hashed_prompts(t), ticket_cache(t))
 
 
-@query("llm_cache_merge")
+@query("llm_cache_merge", f"""
+WITH {i.TICKETS}, p AS (
+  SELECT ticket_id, status, 'Summarize ticket: ' || subject || chr(10) || body AS prompt FROM tickets
+  WHERE status IN ('open', 'in_progress')),
+cache AS (SELECT prompt, 'cached ' || min(ticket_id) AS known FROM p WHERE status = 'open' GROUP BY 1)
+SELECT ticket_id, coalesce(known, split_part(prompt, chr(10), 1)) AS summary_text FROM p LEFT JOIN cache USING (prompt)""")
 def _(t):
     return g.merge_cached(hashed_prompts(t), ticket_cache(t))
 

@@ -108,11 +108,12 @@ def start_orders_stream(
     max_files: int = 50,
     trigger_seconds: int | None = 15,
     now: Column | None = None,
+    name: str = "live_orders",
 ) -> StreamingQuery:
     """Start the stream.  ``trigger_seconds=None`` takes what is there now and stops."""
     writer = (
         read_order_files(spark, in_path, max_files)
-        .writeStream.queryName("live_orders")
+        .writeStream.queryName(name)
         .foreachBatch(write_batch(table_path, quarantine_path, now))
         .option("checkpointLocation", checkpoint)
     )
