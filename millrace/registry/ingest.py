@@ -286,4 +286,4 @@ def _(t):
     return t.spark.read.schema(
         "customer_id bigint, currency string, quantity bigint, ingest_dt string, ingest_hr string, "
         "quarantine_reason string"
-    ).json(quarantine).drop("batch")
+    ).json(quarantine).drop("run", "batch")

@@ -12,7 +12,7 @@ from millrace.operators import monitor as m
 from millrace.operators import retrieval as rt
 from millrace.operators import text as x
 from millrace.registry import inputs as i
-from millrace.registry.core import query, r, r_sql
+from millrace.registry.core import query, r_sql
 from millrace.registry.statistics import rounded
 from millrace.sources.tables import upsert
 

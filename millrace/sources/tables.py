@@ -24,8 +24,9 @@ BRONZE_TABLES = {
     "live_orders": ("id bigint, customer_id bigint, product_id bigint, quantity int, total_amount double, "
                     "unit_price double, currency string, status string, source string, created_at timestamp, "
                     "pubsub_message_id string, pubsub_publish_time timestamp, ingest_ts timestamp, "
-                    "ingest_dt string, ingest_hr string, input_file string, batch int, ingest_date date",
-                    ("batch", "ingest_date")),
+                    "ingest_dt string, ingest_hr string, input_file string, run string, batch int, "
+                    "ingest_date date",
+                    ("run", "batch", "ingest_date")),
 }
 
 

@@ -70,13 +70,16 @@ def stream_normalize(df: DataFrame, now: Column | None = None) -> DataFrame:
 def write_batch(table_path: str, quarantine_path: str, now: Column | None = None):
     """A ``foreachBatch`` function: normalise, split, write both parts under their batch id.
 
-    Each batch owns the folder ``batch=<id>`` (split by ingest date) and overwrites
-    it, so a batch replayed after a failure leaves the same rows as one that ran once.
+    Each batch owns the folder ``run=<query id>/batch=<id>`` (split by ingest date) and
+    overwrites it, so a batch replayed after a failure leaves the same rows as one that
+    ran once.  The query id lives in the checkpoint: a stream started with a new
+    checkpoint counts its batches from 0 again but writes beside the old ones.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        own = f"run={batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId') or 'none'}/batch={batch_id}"
         rows = stream_normalize(batch, now).persist()
         try:
             good, bad = split(rows, order_rule())
@@ -85,13 +88,13 @@ def write_batch(table_path: str, quarantine_path: str, now: Column | None = None
                 .select(*LIVE_COLUMNS, "ingest_date")
                 .write.mode("overwrite")
                 .partitionBy("ingest_date")
-                .parquet(f"{table_path}/batch={batch_id}")
+                .parquet(f"{table_path}/{own}")
             )
             if not bad.isEmpty():
                 (
                     bad.withColumn("quarantine_reason", F.lit(QUARANTINE_REASON))
                     .write.mode("overwrite")
-                    .json(f"{quarantine_path}/batch={batch_id}")
+                    .json(f"{quarantine_path}/{own}")
                 )
         finally:
             rows.unpersist()

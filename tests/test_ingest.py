@@ -185,6 +185,12 @@ def test_stream_restart_and_quarantine(spark, tmp_path):
     row = s.rows()[0]
     assert (row["ingest_dt"], row["ingest_hr"], row["status"], row["source"]) == ("2026-01-06", "05", "unknown", "pubsub")
     assert {r["quarantine_reason"] for r in s.rows("quarantine")} == {"failed_minimal_validation"}
+    runs = {r["run"] for r in s.rows()}
+    assert len(runs) == 1 and runs != {"none"}
+    # A new checkpoint reads all files again, and must not overwrite what is there.
+    live.run_for(live.start_orders_stream(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "q2"),
+                                          str(tmp_path / "checkpoint2"), trigger_seconds=None))
+    assert sorted(r["id"] for r in s.rows()) == [1, 1, 1, 1, 6, 6]
 
 
 def test_replayed_batch_writes_the_same_rows(spark, tmp_path):
@@ -200,7 +206,7 @@ def test_replayed_batch_writes_the_same_rows(spark, tmp_path):
     # Without path values the clock fills them.
     assert rows[0]["ingest_dt"] == f"{rows[0]['ingest_ts']:%Y-%m-%d}" and len(rows[0]["ingest_hr"]) == 2
     run(batch.limit(0), 8)
-    assert not (tmp_path / "t" / "batch=8").exists()
+    assert not (tmp_path / "t" / "run=none" / "batch=8").exists()
 
 
 def test_stream_preview_and_ttl(spark, tmp_path):
