@@ -95,7 +95,7 @@ def target_encode_oof(
     One scan builds the (category, fold) sums, which are stored because four totals
     derive from them (one eager job); one join brings the encoding back to the rows.
     """
-    items = df.where(F.col(target).isNotNull())
+    items = df.where(F.col(target).isNotNull() & F.col(category).isNotNull())
     cells = materialize(items.groupBy(category, fold).agg(
         F.sum(target).cast("double").alias("cs"), F.count(F.lit(1)).alias("cn")
     ))
@@ -115,7 +115,9 @@ def target_encode_oof(
             ).alias(out or f"{category}_target_enc"),
         )
     )
-    joined = items.join(encoded, (F.col(category) == F.col("_c")) & (F.col(fold) == F.col("_f")))
+    # Every row has its cell; a left join keeps Spark from testing the fold for NULL first,
+    # which would compute its hash twice.
+    joined = items.join(encoded, (F.col(category) == F.col("_c")) & (F.col(fold) == F.col("_f")), "left")
     return joined.drop("_c", "_f")
 
 

@@ -277,3 +277,17 @@ def test_time_spine(spark):
     first, last, n = span.selectExpr("min(date_day)", "max(date_day)", "count(*)").first()
     assert (str(first), str(last), n) == ("2000-01-01", "2049-12-31", 18263)
     assert lh.time_spine(spark, "2026-01-01", "2026-01-01").isEmpty()
+
+
+def test_cluster_session_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from millrace.session import shared_folder
+
+    def session(master, conf):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)), sparkContext=context)
+
+    assert shared_folder(session("yarn", {"spark.checkpoint.dir": "hdfs:///work/"})) == "hdfs:///work"
+    with pytest.raises(RuntimeError):
+        shared_folder(session("yarn", {}))
