@@ -10,11 +10,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, mixing
+from millrace.llm import byte_bpe, mixing, ngram_join, outliers, site_quality
 from millrace.llm.common import store
 from millrace.session import load, prepare
 
 
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """Rows in one column beside those that an operator reads, so that results can't clash with them."""
+    return docs.select(F.struct("*").alias("whole"), "doc_id", "text", "lang", "source")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither fail the plain rules nor lie outside what their language and source have."""
+    judged = outliers.reject_outliers(_wrapped(docs), keep=["whole"], store_rows=False)
+    return judged.where("kept").select("whole.*")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are probably of good quality and not toxic, given their text, source and language."""
+    labels = load(spark, sf_dir, "labels")
+    judged = site_quality.classify(_wrapped(docs), labels, keep=["whole"], store_rows=False)
+    return judged.where("kept").select("whole.*")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group that 0.75 similar 5-word shingles link."""
+    return ngram_join.drop_near_copies(docs, percent=75, width=5)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at weights 5, 2, 1, repeating: a row for every copy of a document."""
     return mixing.apply_mix(docs, mixing.mix_sources(docs, weights=(5, 2, 1), cap=3))
@@ -28,7 +51,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-STAGES = [("mixing", mix), ("byte_bpe", encode)]
+STAGES = [
+    ("quality_rules", quality_rules), ("quality_classifier", quality_classifier), ("ngram_join", near_copies),
+    ("mixing", mix), ("byte_bpe", encode),
+]
 
 #: No SQL expresses robust covariances, model fits and Newton iterations; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import worker_cache
+from millrace.llm.common import shape, worker_cache
 
 SAFE = re.compile(r"[!-~](?=[ \n])")
 
@@ -77,9 +77,8 @@ def encode(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[id, "ids"])
 
-    rows = docs.select(F.col(id), F.col(text).cast("string").alias("text" if id != "text" else "_text"))
-    kind = rows.schema[id].dataType.simpleString()
-    return rows.mapInArrow(task, f"`{id}` {kind}, ids array<int>")
+    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(task, shape({id: rows.schema["id"].dataType, "ids": "array<int>"}))
 
 
 def decode(encoded: DataFrame, rank_file: str, pattern: str, id: str = "doc_id") -> DataFrame:
@@ -100,6 +99,5 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, id: str = "doc_id")
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(out, pa.binary())], names=[id, "ids", "bytes"])
 
-    rows = encoded.select(F.col(id), F.col("ids").cast("array<int>"))
-    kind = rows.schema[id].dataType.simpleString()
-    return rows.mapInArrow(task, f"`{id}` {kind}, ids array<int>, bytes binary")
+    rows = encoded.select(F.col(id).alias("id"), F.col("ids").cast("array<int>"))
+    return rows.mapInArrow(task, shape({id: rows.schema["id"].dataType, "ids": "array<int>", "bytes": "binary"}))

@@ -7,8 +7,9 @@ import types
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from millrace.session import work_path
 
@@ -122,5 +123,24 @@ def joined(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
     return b"\n".join([*texts, b""]), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def pack(values: np.ndarray) -> bytes:
+    """64-bit values byte by byte, all lowest bytes first: small numbers and sorted differences compress well."""
+    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw), dtype=np.uint64)
+
+
+def shape(fields: dict[str, DataType | str]) -> StructType:
+    """A schema from names and types, whatever characters the names have."""
+    return StructType([
+        StructField(name, kind if isinstance(kind, DataType) else DataType.fromDDL(kind)) for name, kind in fields.items()])

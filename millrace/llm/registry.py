@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, mixing, segment_search, token_orc, url_rules, warc_archive
+from millrace.llm import (
+    byte_bpe, interpolated_lm, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, url_rules,
+    warc_archive,
+)
 from millrace.session import load, prepare, work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,12 +42,29 @@ def token_orc_query(spark: SparkSession, folder: str) -> DataFrame:
     return summed.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
 
 
+@query("op2_site_quality")
+def site_quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    return site_quality.classify(load(spark, folder, "documents"), load(spark, folder, "labels"), keep=("doc_id",))
+
+
 @query("op3_entropy_mix")
 def entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(load(spark, folder, "documents"), weights=(5, 2, 1), cap=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+@query("op4_interpolated_lm")
+def interpolated_lm_query(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolated_lm.score_documents(load(spark, folder, "documents"))
+
+
+@query("op5_robust_outliers")
+def robust_outliers_query(spark: SparkSession, folder: str) -> DataFrame:
+    judged = outliers.reject_outliers(load(spark, folder, "documents"), keep=("doc_id",))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "distance")
+
+
 @query("op6_segment_search", """
 WITH parts AS (
     SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x
@@ -127,3 +147,8 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM judg
 def url_rules_query(spark: SparkSession, folder: str) -> DataFrame:
     rules = url_rules.rule_table(spark, URL_RULES)
     return url_rules.judge_urls(load(spark, folder, "pages"), rules, keep=("page_id",))
+
+
+@query("op10_ngram_join")
+def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(load(spark, folder, "documents"), percent=75, width=5)

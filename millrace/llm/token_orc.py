@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import WordScan, chunks, joined, text_bytes, worker_cache
+from millrace.llm.common import WordScan, chunks, joined, shape, text_bytes, worker_cache
 
 # How byte-level BPE writes bytes as characters. Printable bytes stand for themselves,
 # the others for the characters from 256 on.
@@ -224,5 +224,5 @@ def checksums(tokens: DataFrame, column: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(sums)], names=[*(f.name for f in kept), "ids_crc32"])
 
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return tokens.select(column, *[f.name for f in kept]).mapInArrow(task, f"{shape}, ids_crc32 long")
+    out = shape({f.name: f.dataType for f in kept} | {"ids_crc32": "long"})
+    return tokens.select(column, *[f.name for f in kept]).mapInArrow(task, out)
