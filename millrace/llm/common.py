@@ -32,12 +32,34 @@ def text_bytes(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
 
 
+#: Bytes of a batch that travels between the JVM and Python, about.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most BATCH_BYTES (and one row more), so that a
+    worker's memory follows this bound and not ten thousand texts of any length."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) != str(BATCH_BYTES):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def store(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: the plan above starts from files
-    that outlive any executor, and readers prune columns."""
+    that outlive any executor, and readers prune columns.
+
+    The shuffle files of the write go at its end, not when the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = folder or work_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -123,13 +145,17 @@ def joined(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
     return b"\n".join([*texts, b""]), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def pack(values: np.ndarray) -> bytes:
-    """64-bit values byte by byte, all lowest bytes first: small numbers and sorted differences compress well."""
-    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+def pack(values: np.ndarray, width: int = 8) -> bytes:
+    """The ``width`` low bytes of 64-bit values, all lowest bytes first: small numbers and sorted differences
+    compress well."""
+    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+def unpack(raw: bytes, width: int = 8) -> np.ndarray:
+    low = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    out = np.zeros((low.shape[1], 8), np.uint8)
+    out[:, :width] = low.T
+    return out.view(np.uint64).ravel()
 
 
 def pack_sorted(values: np.ndarray) -> bytes:

@@ -35,13 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordScan, chunks, joined, mix, store, text_bytes, windows
+from millrace.llm.common import (
+    WordScan, bounded_batches, chunks, joined, mix, pack, store, text_bytes, unpack, windows,
+)
 from millrace.llm.components import components
 from millrace.operators.ordering import running_sums
 
 #: Bytes of text per block, and hashes per range, about.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 RANGE_TOKENS = 3 << 20
+#: Bytes of a token inside its range of hashes, and among all ranges.  Ranges don't grow with the corpus, so
+#: neither does the chance that two different tokens of a pair of documents look alike.
+NARROW, WIDE = 5, 6
 #: Shared tokens in a block of the last step, about.
 BLOCK_TOKENS = 200_000
 
@@ -90,7 +95,7 @@ def set_ids(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.where(sizes == 0, np.uint64(0), found).view(np.int64)
 
 
-ROWS = "kind int, slot int, doc_ids array<long>, sets array<long>, sizes array<int>, owners array<int>, tokens binary"
+ROWS = "kind int, slot int, doc_ids array<long>, sets array<long>, sizes array<int>, runs binary, tokens binary"
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -100,7 +105,7 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _blocks(docs: DataFrame, id: str, text: str, width: int, slots: int) -> DataFrame:
     """Kind 0: doc_ids with their set and size.  Kind 1, a row per block and range of hashes (slot): the
-    block's sets, and each token with the index of its set."""
+    block's sets, how many tokens each has there, and the tokens in order of the sets."""
 
     def flush(ids: list, sets: list, tokens: list, begins: list) -> Iterator[pa.RecordBatch]:
         ids, sets = np.concatenate(ids), np.concatenate(sets)
@@ -117,25 +122,25 @@ def _blocks(docs: DataFrame, id: str, text: str, width: int, slots: int) -> Data
         order = np.lexsort((owner, slot))
         token, owner, slot = token[order], owner[order], slot[order]
         cuts = np.searchsorted(slot, np.arange(slots + 1))
-        kinds, slot_of, doc_ids, set_of, size_of, owners, packed = [0], [int(sets[0] % slots)], [ids], [sets], [sizes], [np.zeros(0, np.int32)], [b""]
+        kinds, slot_of, doc_ids, set_of, size_of, runs, packed = [0], [int(sets[0] % slots)], [ids], [sets], [sizes], [b""], [b""]
         for k in range(slots):
             a, b = cuts[k], cuts[k + 1]
             if a == b:
                 continue
-            here, index = np.unique(owner[a:b], return_inverse=True)
+            here, run = np.unique(owner[a:b], return_counts=True)
             kinds.append(1)
             slot_of.append(k)
             doc_ids.append(np.zeros(0, np.int64))
             set_of.append(sets[here])
             size_of.append(sizes[here])
-            owners.append(index.astype(np.int32))
-            packed.append(token[a:b].tobytes())
+            runs.append(pack(run, 4))
+            packed.append(pack(token[a:b], NARROW))
         for at in range(0, len(kinds), 64):
             s = slice(at, at + 64)
             yield pa.RecordBatch.from_arrays([
                 pa.array(kinds[s], pa.int32()), pa.array(slot_of[s], pa.int32()), _lists(doc_ids[s], pa.int64()),
-                _lists(set_of[s], pa.int64()), _lists(size_of[s], pa.int32()), _lists(owners[s], pa.int32()),
-                pa.array(packed[s], pa.binary())], names=["kind", "slot", "doc_ids", "sets", "sizes", "owners", "tokens"])
+                _lists(set_of[s], pa.int64()), _lists(size_of[s], pa.int32()), pa.array(runs[s], pa.binary()),
+                pa.array(packed[s], pa.binary())], names=["kind", "slot", "doc_ids", "sets", "sizes", "runs", "tokens"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, held = Shingles(width), 0
@@ -158,7 +163,7 @@ def _blocks(docs: DataFrame, id: str, text: str, width: int, slots: int) -> Data
             yield from flush(ids, sets, tokens, begins)
 
     # A stand-in keeps NULL ids apart from all numbers; they come back as NULL.
-    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NONE)).alias("id"), text_bytes(text).alias("text"))
+    rows = bounded_batches(docs).select(F.coalesce(F.col(id).cast("long"), F.lit(NONE)).alias("id"), text_bytes(text).alias("text"))
     return rows.mapInArrow(task, ROWS)
 
 
@@ -166,15 +171,15 @@ def _blocks(docs: DataFrame, id: str, text: str, width: int, slots: int) -> Data
 NONE = -(1 << 63)
 
 SHARED = ("kind int, slot int, doc_ids array<long>, sets array<long>, sizes array<int>, "
-          "tokens binary, counts binary, owners binary")
+          "tokens binary, counts binary, runs binary")
 
 
-def _shared_rows(kinds, slots, doc_ids, sets, sizes, tokens, counts, owners) -> pa.Table:
+def _shared_rows(kinds, slots, doc_ids, sets, sizes, tokens, counts, runs) -> pa.Table:
     return pa.Table.from_arrays([
         pa.array(kinds, pa.int32()), pa.array(slots, pa.int32()), _lists(doc_ids, pa.int64()), _lists(sets, pa.int64()),
         _lists(sizes, pa.int32()), pa.array(tokens, pa.binary()), pa.array(counts, pa.binary()),
-        pa.array(owners, pa.binary())],
-        names=["kind", "slot", "doc_ids", "sets", "sizes", "tokens", "counts", "owners"])
+        pa.array(runs, pa.binary())],
+        names=["kind", "slot", "doc_ids", "sets", "sizes", "tokens", "counts", "runs"])
 
 
 def _counting(slots: int):
@@ -199,33 +204,37 @@ def _counting(slots: int):
                     continue
                 sets.append(own)
                 sizes.append(own_sizes)
-                tokens.append(np.frombuffer(batch.column("tokens")[row].as_py(), np.uint64))
-                owners.append(batch.column("owners")[row].values.to_numpy().astype(np.int64) + offset)
+                tokens.append(unpack(batch.column("tokens")[row].as_py(), NARROW))
+                runs = unpack(batch.column("runs")[row].as_py(), 4).astype(np.int64)
+                owners.append(np.repeat(np.arange(offset, offset + len(own), dtype=np.int32), runs))
                 offset += len(own)
         if tokens:
+            slot = np.uint64(table.column("slot")[0].as_py() + 1)
             # The same set in several blocks is one.
             sets, first, same = np.unique(np.concatenate(sets), return_index=True, return_inverse=True)
             sizes = np.concatenate(sizes)[first]
-            token, owner = np.concatenate(tokens), same[np.concatenate(owners)]
+            token, owner = np.concatenate(tokens), same.astype(np.int32)[np.concatenate(owners)]
+            tokens.clear()
+            owners.clear()
             order = np.lexsort((owner, token))
             token, owner = token[order], owner[order]
             fresh = np.ones(len(token), bool)
             fresh[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
             token, owner = token[fresh], owner[fresh]
             edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-            count = np.diff(edge)
+            count = np.diff(edge).astype(np.uint32)
             count = np.repeat(count, count)
             kept = count > 1
-            token, owner, count = token[kept], owner[kept], count[kept].astype(np.uint32)
+            token, owner, count = token[kept], owner[kept], count[kept]
+            token = mix(token ^ (slot * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(64 - 8 * WIDE)
             part = (mix(sets.view(np.uint64)) % np.uint64(slots)).astype(np.int32)[owner]
             order = np.lexsort((owner, part))
             token, owner, count, part = token[order], owner[order], count[order], part[order]
             cuts = np.searchsorted(part, np.arange(slots + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 a, b = cuts[k], cuts[k + 1]
-                here, index = np.unique(owner[a:b], return_inverse=True)
-                emit(1, k, none, sets[here], sizes[here], token[a:b].tobytes(), count[a:b].tobytes(),
-                     index.astype(np.uint32).tobytes())
+                here, run = np.unique(owner[a:b], return_counts=True)
+                emit(1, k, none, sets[here], sizes[here], pack(token[a:b], WIDE), pack(count[a:b], 4), pack(run, 4))
         return _shared_rows(*out)
 
     return task
@@ -245,9 +254,10 @@ def _listing(percent: int):
                 own = batch.column("sets")[row].values.to_numpy()
                 sets.append(own)
                 sizes.append(batch.column("sizes")[row].values.to_numpy())
-                tokens.append(np.frombuffer(batch.column("tokens")[row].as_py(), np.uint64))
-                counts.append(np.frombuffer(batch.column("counts")[row].as_py(), np.uint32))
-                owners.append(np.frombuffer(batch.column("owners")[row].as_py(), np.uint32).astype(np.int64) + offset)
+                tokens.append(unpack(batch.column("tokens")[row].as_py(), WIDE))
+                counts.append(unpack(batch.column("counts")[row].as_py(), 4).astype(np.uint32))
+                runs = unpack(batch.column("runs")[row].as_py(), 4).astype(np.int64)
+                owners.append(np.repeat(np.arange(offset, offset + len(own)), runs))
                 offset += len(own)
         sets, first, same = np.unique(np.concatenate(sets), return_index=True, return_inverse=True)
         sizes = np.concatenate(sizes)[first].astype(np.int64)
@@ -394,10 +404,11 @@ def _block_links(lists: DataFrame, postings: DataFrame, labels: DataFrame, perce
     known = labels.select(F.col("node").alias("set"), "label")
     placed = postings.select("token", "set").join(known, "set", "left").withColumn("label", F.coalesce("label", "set"))
     split = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    rest = store(placed.join(split.select("token"), "token", "left_semi"), "unresolved")
+    rest = store(placed.join(split.select("token", "x"), "token"), "unresolved")
     if not rest.take(1):
         return None
-    members = rest.groupBy("set").agg(F.first("label").alias("label"), F.min("token").alias("near"))
+    # Sets that share tokens mostly see the same smallest component beside them: they come to lie together.
+    members = rest.groupBy("set").agg(F.first("label").alias("label"), F.min("x").alias("near"))
     sized = members.join(lists, "set").withColumn("length", (F.octet_length("tokens") / 8).cast("long"))
     order = [F.col("near").asc(), F.col("set").asc()]
     laid = running_sums(sized.select("set", "label", "near", "length"), order, ["length"])
@@ -443,8 +454,9 @@ def ngram_components(
 
     NULL texts count as empty.  Rows with a NULL id link like others but give no id: their
     component is the smallest id of their group, NULL if no member has one.  Repeated rows are repeated
-    in the result.  No rows give an empty result.  Sets and shingles are told apart by 64-bit
-    hashes.  Runs several jobs; what lies between them is in the shared work folder.
+    in the result.  No rows give an empty result.  Sets are told apart by 64-bit hashes, shingles by 40 bits
+    within a range of hashes: of two sets of 1,000 shingles one in about ten million pairs seems to share one
+    more than it does.  Runs several jobs; what lies between them is in the shared work folder.
     """
     spark = docs.sparkSession
     volume = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
@@ -454,7 +466,7 @@ def ngram_components(
 
     rows = shared.where("kind = 0").select(F.explode(F.arrays_zip("doc_ids", "sets", "sizes")).alias("d")).select(
         F.nullif("d.doc_ids", F.lit(NONE)).alias("doc_id"), F.col("d.sets").alias("set"), F.col("d.sizes").alias("size"))
-    parts = shared.where("kind = 1").select("slot", "sets", "sizes", "tokens", "counts", "owners")
+    parts = shared.where("kind = 1").select("slot", "sets", "sizes", "tokens", "counts", "runs")
     lists = store(parts.groupBy("slot").applyInArrow(_listing(percent), LISTS), "lists")
 
     postings = lists.select("set", "size", "own", F.explode("first").alias("token"))
