@@ -87,4 +87,6 @@ def cosine_distance(a: Column, b: Column) -> Column:
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
 
-    return F.lit(1.0) - dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    # A vector of zeros is at distance 1 from all others.
+    near = F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b))), F.lit(0.0))
+    return F.when(a.isNotNull() & b.isNotNull(), F.lit(1.0) - near)

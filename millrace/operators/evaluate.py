@@ -25,23 +25,21 @@ def _by_score(scored: DataFrame) -> DataFrame:
 def eval_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """Precision, recall, accuracy, F1, log loss and ROC AUC in one row.
 
-    AUC counts concordant pairs from sums per distinct score, ties as half.
+    All come from the counts per distinct score, so the rows are read once.  AUC counts concordant
+    pairs, ties as half.
     """
-    scored = _scored(df, label, score)
     hit = F.col("s") >= threshold
     p = F.least(F.greatest(F.col("s"), F.lit(1e-15)), F.lit(1 - 1e-15))
-    base = scored.agg(
-        F.count_if(hit & (F.col("y") == 1)).alias("tp"),
-        F.count_if(hit & (F.col("y") == 0)).alias("fp"),
-        F.count_if(~hit & (F.col("y") == 1)).alias("fn"),
-        F.count_if(~hit & (F.col("y") == 0)).alias("tn"),
-        F.avg(-F.when(F.col("y") == 1, F.log(p)).otherwise(F.log(1 - p))).alias("log_loss"),
-    )
-    area = _by_score(scored).agg(
+    pos, neg = F.col("pos"), F.col("neg")
+    base = _by_score(_scored(df, label, score)).agg(
+        F.coalesce(F.sum(F.when(hit, pos).otherwise(0)), F.lit(0)).alias("tp"),
+        F.coalesce(F.sum(F.when(hit, neg).otherwise(0)), F.lit(0)).alias("fp"),
+        F.coalesce(F.sum(F.when(hit, 0).otherwise(pos)), F.lit(0)).alias("fn"),
+        F.coalesce(F.sum(F.when(hit, 0).otherwise(neg)), F.lit(0)).alias("tn"),
+        F.try_divide(-F.sum(pos * F.log(p) + neg * F.log(1 - p)), F.sum(pos + neg)).alias("log_loss"),
         F.try_divide(
-            F.sum((F.col("pos_before") + F.col("pos") / 2) * F.col("neg")),
-            F.max("pos_total").cast("double") * F.max("neg_total"),
-        ).alias("auc")
+            F.sum((F.col("pos_before") + pos / 2) * neg), F.max("pos_total").cast("double") * F.max("neg_total"),
+        ).alias("auc"),
     )
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     precision, recall = F.try_divide(tp, tp + fp), F.try_divide(tp, tp + fn)
@@ -51,7 +49,7 @@ def eval_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5)
         F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
         "log_loss",
-        one_row(area)["auc"].alias("roc_auc"),
+        F.col("auc").alias("roc_auc"),
     )
 
 

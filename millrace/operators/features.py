@@ -160,20 +160,30 @@ def entity_features(
     low: float = 60,
     high: float = 7200,
 ) -> DataFrame:
-    """Per-entity aggregates for entities with at least ``min_rows`` rows."""
-    return (
-        df.where(F.col(entity).isNotNull() & F.col(duration).between(low, high))
-        .groupBy(entity)
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            F.avg(duration).alias("avg_duration"),
-            F.stddev_samp(duration).alias("stddev_duration"),
-            F.countDistinct(F.to_date(start)).alias("active_days"),
-            F.avg(F.hour(start)).alias("avg_start_hour"),
-            F.countDistinct(kind).alias("user_types"),
-        )
-        .where(F.col("total_trips") >= min_rows)
-    )
+    """Per-entity aggregates for entities with at least ``min_rows`` rows.
+
+    Rows are summed per (entity, day, kind) first, so the distinct days and kinds need no copies of the
+    rows: each is counted at its first cell.  Sums of squares are taken around the entity's mean in a
+    second step over the cells' own means.
+    """
+    rows = df.where(F.col(entity).isNotNull() & F.col(duration).between(low, high)).select(
+        F.col(entity).alias("_e"), F.to_date(start).alias("_day"), F.col(kind).alias("_kind"),
+        F.col(duration).cast("double").alias("_d"), F.hour(start).alias("_h"))
+    cells = rows.groupBy("_e", "_day", "_kind").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_d").alias("s"), F.var_pop("_d").alias("v"), F.avg("_d").alias("a"),
+        F.count("_h").alias("hn"), F.sum("_h").alias("hs"))
+    days = cells.groupBy("_e", "_day").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum(F.col("n") * F.col("v")).alias("inside"),
+        F.sum(F.col("n") * F.col("a") * F.col("a")).alias("squares"), F.sum("hn").alias("hn"), F.sum("hs").alias("hs"),
+        F.collect_set("_kind").alias("kinds"))
+    total, mean = F.sum("n"), F.sum("s") / F.sum("n")
+    spread = F.greatest(F.sum("inside") + F.sum("squares") - total * mean * mean, F.lit(0.0))
+    return days.groupBy(F.col("_e").alias(entity)).agg(
+        total.alias("total_trips"), mean.alias("avg_duration"),
+        F.sqrt(F.try_divide(spread, total - 1)).alias("stddev_duration"),
+        F.count("_day").alias("active_days"), F.try_divide(F.sum("hs"), F.sum("hn")).alias("avg_start_hour"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("kinds")))).cast("long").alias("user_types"),
+    ).where(F.col("total_trips") >= min_rows)
 
 
 def interactions(

@@ -10,7 +10,10 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, FeatureHasher, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    PCA, FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+)
+from pyspark.ml.feature import ImputerModel, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
@@ -26,13 +29,30 @@ from millrace.sources.tables import write_folder
 LABEL, FEATURES = "_label", "_features"
 
 
-def _inputs(num_cols: Sequence[str], cat_cols: Sequence[str] = (), hashed: int = 64) -> list:
-    """Stages from columns to one vector; categories are hashed, so no list of values is collected."""
-    stages, parts = [], list(num_cols)
+def _filled(num_cols: Sequence[str]) -> tuple[list, list[str]]:
+    """Stages that put the median in place of missing numbers, and the names of the filled columns."""
+    typed = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"CAST(`{c}` AS DOUBLE) AS `_num_{c}`" for c in num_cols) + " FROM __THIS__")
+    names = [f"_num_{c}" for c in num_cols]
+    return [typed, Imputer(inputCols=names, outputCols=names, strategy="median")], names
+
+
+def hash_buckets(df: DataFrame, cat_cols: Sequence[str], low: int = 64, high: int = 1 << 18) -> int:
+    """A power of two, four times the number of category values or more, so that few of them share a bucket."""
+    counts = df.agg(*[F.approx_count_distinct(c) for c in cat_cols]).first()
+    return min(high, max(low, 1 << (4 * sum(counts) - 1).bit_length()))
+
+
+def _inputs(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str] = (), hashed: int | None = None) -> list:
+    """Stages from columns to one vector.  Every row gets one: missing numbers become medians, missing
+    categories no bucket.  Categories are hashed, so no list of values is collected; the number of
+    buckets follows the number of values (``hash_buckets``) unless ``hashed`` says otherwise."""
+    stages, parts = _filled(num_cols)
     if cat_cols:
-        stages.append(FeatureHasher(inputCols=list(cat_cols), outputCol="_cats", numFeatures=hashed))
-        parts.append("_cats")
-    return [*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="skip")]
+        buckets = hashed or hash_buckets(df, cat_cols)
+        stages.append(FeatureHasher(inputCols=list(cat_cols), outputCol="_cats", numFeatures=buckets))
+        parts = [*parts, "_cats"]
+    return [*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="keep")]
 
 
 # ---------------------------------------------------------------- classification
@@ -42,10 +62,14 @@ def train_forest(
     df: DataFrame, label: str, num_cols: Sequence[str], cat_cols: Sequence[str] = (),
     trees: int = 100, depth: int = 10, subsample: float = 0.8, min_gain: float = 0.0, seed: int = 42,
 ) -> PipelineModel:
-    """Random forest with string labels."""
+    """Random forest with string labels; rows without a label teach nothing, all others count.
+
+    ``min_gain`` is the least decrease of impurity (between 0 and 0.5 here) of a split; a loss
+    threshold of boosted trees is on another scale.
+    """
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol=LABEL, stringOrderType="alphabetAsc", handleInvalid="skip"),
-        *_inputs(num_cols, cat_cols),
+        *_inputs(df, num_cols, cat_cols),
         RandomForestClassifier(
             labelCol=LABEL, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, subsamplingRate=subsample,
             minInfoGain=min_gain, seed=seed, probabilityCol="_prob", rawPredictionCol="_raw",
@@ -144,7 +168,7 @@ def tune_gbt(
     """
     space = space or {"stepSize": (0.01, 0.3), "maxDepth": [4, 6, 8, 10], "subsamplingRate": (0.6, 1.0)}
     settings = random_trials(space, n_trials, seed)
-    prepared = Pipeline(stages=_inputs(num_cols, cat_cols)).fit(df).transform(
+    prepared = Pipeline(stages=_inputs(df, num_cols, cat_cols)).fit(df).transform(
         kfold(df, split_key, 5, "_part") if split_key else df.withColumn("_part", (F.rand(seed) * 5).cast("int"))
     ).select(F.col(label).cast("double").alias(LABEL), FEATURES, "_part").persist()
 
@@ -173,7 +197,10 @@ def tune_gbt(
 
 
 def pareto(trials: DataFrame, first: str, second: str) -> DataFrame:
-    """Trials no other trial beats in both metrics (one row per trial, so a small table)."""
+    """Trials no other trial beats in both metrics.
+
+    For tables of trials, one row each: a single window goes over all distinct first metrics.
+    """
     ahead = W.partitionBy(F.lit(0)).orderBy(F.desc(first)).rowsBetween(W.unboundedPreceding, -1)
     best = trials.groupBy(first).agg(F.max(second).alias("_best")).withColumn("_ahead", F.max("_best").over(ahead))
     front = best.where(F.col("_ahead").isNull() | (F.col("_best") > F.col("_ahead")))
@@ -184,8 +211,10 @@ def pareto(trials: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def _scaled(cols: Sequence[str]) -> list:
+    stages, names = _filled(cols)
     return [
-        VectorAssembler(inputCols=list(cols), outputCol="_assembled", handleInvalid="skip"),
+        *stages,
+        VectorAssembler(inputCols=names, outputCol="_assembled", handleInvalid="keep"),
         StandardScaler(inputCol="_assembled", outputCol=FEATURES, withMean=True, withStd=True),
     ]
 
@@ -311,7 +340,11 @@ def als_recommend(
     names = {}
     for col, number in ((user, "_u"), (item, "_i")):
         distinct = df.where(F.col(col).isNotNull()).select(col).distinct()
-        names[col] = positions(distinct, [F.col(col)]).select(col, F.col("pos").cast("int").alias(number))
+        numbered = positions(distinct, [F.col(col)])
+        # The factorisation's ids are 32-bit; more of them would wrap around unnoticed.
+        fits = F.when(F.col("pos") < 2**31, F.col("pos").cast("int")).otherwise(
+            F.raise_error(F.lit(f"more than 2**31 values of {col}")).cast("int"))
+        names[col] = numbered.select(col, fits.alias(number))
     coded = df.join(names[user], user).join(names[item], item).select("_u", "_i", F.col(rating).cast("float"))
     model = ALS(
         userCol="_u", itemCol="_i", ratingCol=rating, rank=rank, regParam=reg, maxIter=max_iter, seed=seed,
@@ -331,10 +364,29 @@ def als_recommend(
 # ---------------------------------------------------------------- cross-validation and explanation
 
 
-def train_logistic(df: DataFrame, label: str, cols: Sequence[str], max_iter: int = 50) -> PipelineModel:
-    """Logistic regression on numeric columns for a 0/1 label."""
+def train_logistic(
+    df: DataFrame, label: str, cols: Sequence[str], max_iter: int = 50, cat_cols: Sequence[str] = (),
+    max_values: int = 1000,
+) -> PipelineModel:
+    """Logistic regression on numeric and categorical columns for a 0/1 label.
+
+    Each value of a categorical column is a 0/1 input (the last one the base; values not seen in training
+    count as a value of their own), so that ``explain_linear`` can name it.  More than ``max_values``
+    values of a column are refused: hash or bin them first.
+    """
+    for c in cat_cols:
+        if df.select(c).distinct().limit(max_values + 1).count() > max_values:
+            raise ValueError(f"{c} has more than {max_values} values")
+    stages, parts = _filled(cols)
+    if cat_cols:
+        codes, flags = [f"_code_{c}" for c in cat_cols], [f"_flag_{c}" for c in cat_cols]
+        stages += [
+            StringIndexer(inputCols=list(cat_cols), outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"),
+            OneHotEncoder(inputCols=codes, outputCols=flags),
+        ]
+        parts = [*parts, *flags]
     return Pipeline(stages=[
-        *_inputs(cols),
+        *stages, VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="keep"),
         LogisticRegression(labelCol=label, featuresCol=FEATURES, probabilityCol="_prob", rawPredictionCol="_raw",
                            predictionCol="_pred", maxIter=max_iter),
     ]).fit(df)
@@ -344,13 +396,15 @@ def positive_score(model: PipelineModel, df: DataFrame, out: str = "score") -> D
     return model.transform(df).select(*df.columns, vector_to_array("_prob")[1].alias(out))
 
 
-def cross_validate(df: DataFrame, label: str, cols: Sequence[str], fold: str = "fold", k: int = 5) -> DataFrame:
+def cross_validate(
+    df: DataFrame, label: str, cols: Sequence[str], fold: str = "fold", k: int = 5, cat_cols: Sequence[str] = ()
+) -> DataFrame:
     """Metrics per fold: train on the other folds, evaluate on this one."""
-    data = df.select(F.col(label).cast("double").alias(label), *cols, fold).persist()
+    data = df.select(F.col(label).cast("double").alias(label), *cols, *cat_cols, fold).persist()
     try:
         rows = []
         for f in range(k):
-            model = train_logistic(data.where(F.col(fold) != f), label, cols)
+            model = train_logistic(data.where(F.col(fold) != f), label, cols, cat_cols=cat_cols)
             scored = positive_score(model, data.where(F.col(fold) == f))
             rows.append((f, *eval_metrics(scored, label, "score").first()))
     finally:
@@ -374,12 +428,26 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 def explain_linear(
     model: PipelineModel, df: DataFrame, cols: Sequence[str], baseline: DataFrame, top_n: int = 5
 ) -> DataFrame:
-    """Per-row attributions coefficient x (value - baseline mean), largest first."""
+    """Per-row attributions coefficient x (value - baseline mean), largest first.
+
+    Missing numbers count as the median they are replaced by.  A categorical column's share is the
+    weight of its value minus the baseline's mean weight.
+    """
     weights = [float(w) for w in model.stages[-1].coefficients.toArray()]
-    means = baseline.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    indexer = next((s for s in model.stages if isinstance(s, StringIndexerModel)), None)
+    # The model's own filling of missing numbers and its list of category values.
+    filled = PipelineModel([s for s in model.stages if isinstance(s, (SQLTransformer, ImputerModel))])
+    rows, base = filled.transform(positive_score(model, df)), filled.transform(baseline)
+    shares = {c: F.lit(w) * F.col(f"_num_{c}") for c, w in zip(cols, weights)}
+    at = len(cols)
+    for c, values in zip(indexer.getInputCols() if indexer else [], indexer.labelsArray if indexer else []):
+        # One input per value; the value for unseen ones is the base and has none.
+        named = [x for v, w in zip(values, weights[at : at + len(values)]) for x in (F.lit(v), F.lit(w))]
+        shares[c] = F.coalesce(F.try_element_at(F.create_map(*named), F.col(c)), F.lit(0.0))
+        at += len(values)
+    means = base.agg(*[F.avg(share).alias(c) for c, share in shares.items()]).first()
     parts = F.array(*[
-        F.struct(F.lit(c).alias("feature"), (F.lit(w) * (F.col(c) - means[c])).alias("attribution"))
-        for c, w in zip(cols, weights)
+        F.struct(F.lit(c).alias("feature"), (share - means[c]).alias("attribution")) for c, share in shares.items()
     ])
     by_size = F.array_sort(
         parts,
@@ -387,6 +455,6 @@ def explain_linear(
         .when(F.abs(a["attribution"]) < F.abs(b["attribution"]), 1)
         .otherwise(0),
     )
-    return positive_score(model, df).withColumn("top_feature_attributions", F.slice(by_size, 1, top_n))
+    return rows.select(*df.columns, "score", F.slice(by_size, 1, top_n).alias("top_feature_attributions"))
 
 

@@ -108,9 +108,22 @@ def with_input_hash(df: DataFrame, prompt: Column) -> DataFrame:
     return df.withColumn("prompt", prompt).withColumn("input_hash", F.sha2("prompt", 256))
 
 
-def cache_misses(prompts: DataFrame, cache: DataFrame) -> DataFrame:
-    """One row (input_hash, prompt) per distinct input that is not cached."""
-    missing = prompts.join(cache.select("input_hash"), "input_hash", "left_anti")
+def cached_for(cache: DataFrame, prompt_id: str, prompt_version: int, model: str, params_json: str) -> DataFrame:
+    """(input_hash, output_text) of one prompt version, model and parameters, from ``cache_latest``."""
+    wanted = {"prompt_id": prompt_id, "prompt_version": prompt_version, "model": model, "params_json": params_json}
+    rows = cache
+    for name, value in wanted.items():
+        rows = rows.where(F.col(name).eqNullSafe(F.lit(value)))
+    return rows.select("input_hash", "output_text")
+
+
+def cache_misses(
+    prompts: DataFrame, cache: DataFrame, prompt_id: str, prompt_version: int, model: str, params_json: str
+) -> DataFrame:
+    """One row (input_hash, prompt) per distinct input without an answer for this prompt version, model
+    and parameters in ``cache`` (from ``cache_latest``)."""
+    known = cached_for(cache, prompt_id, prompt_version, model, params_json)
+    missing = prompts.join(known.select("input_hash"), "input_hash", "left_anti")
     return missing.groupBy("input_hash").agg(F.min("prompt").alias("prompt"))
 
 
@@ -156,19 +169,31 @@ def capped(df: DataFrame, order: Sequence[Column], n: int = 50) -> DataFrame:
     return numbered.where(F.col("_place") <= n).drop("_place", "_all")
 
 
+# Comments outside of literals (which are the first group), and words that change data or tables.
+COMMENTS = r"('(?:[^']|'')*')|--[^\n]*|/\*[\s\S]*?\*/"
+WRITING_WORDS = r"(?i)\b(insert|update|delete|merge|truncate|drop|alter|create|grant|revoke)\b"
+
+
 def query_log_audit(df: DataFrame, sql_col: str, tenant_col: str, tenant: Column) -> DataFrame:
-    """Classify logged statements by first word, read-only or not, and tenant predicate.
+    """Classify logged statements: first word, read-only or not, a single one or not, tenant predicate.
 
-    Works on the text only; it does not parse SQL.
+    Works on the text only, without parsing it: comments are blanked first, and a second statement or a
+    writing word outside of literals is refused.  The tenant column counts as a whole word in any case
+    of letters, compared with the literal.  NULL statements are refused.
     """
-    verb = F.upper(F.regexp_extract(F.col(sql_col), r"^\s*([A-Za-z]+)", 1))
-    bare = F.regexp_replace(F.col(sql_col), r"\s*=\s*", "=")
-    wanted = F.concat(F.lit(f"{tenant_col}='"), tenant.cast("string"), F.lit("'"))
-    scoped = F.coalesce(F.instr(bare, wanted) > 0, F.lit(False))
-    read_only = verb.isin("SELECT", "WITH")
-    return df.withColumn("verb", verb).withColumn("is_read_only", read_only).withColumn(
-        "has_tenant_filter", scoped
-    ).withColumn("allowed", read_only & scoped)
+    code = F.regexp_replace(F.col(sql_col), COMMENTS, "$1 ")
+    bare = F.regexp_replace(code, "'(?:[^']|'')*'", "''")
+    verb = F.upper(F.regexp_extract(code, r"^\s*([A-Za-z]+)", 1))
+    single = F.coalesce(~F.regexp_replace(bare, r"[;\s]+$", "").contains(";"), F.lit(False))
+    writes = F.coalesce(F.regexp_like(bare, F.lit(WRITING_WORDS)), F.lit(True))
+    marked = F.regexp_replace(code, rf"(?i)(^|[^A-Za-z0-9_])({tenant_col})\s*=\s*'", "$1\u0001'")
+    wanted = F.concat(F.lit("\u0001'"), tenant.cast("string"), F.lit("'"))
+    scoped = F.coalesce(F.instr(marked, wanted) > 0, F.lit(False))
+    read_only = F.coalesce(verb.isin("SELECT", "WITH"), F.lit(False)) & ~writes
+    return df.withColumns({
+        "verb": verb, "is_read_only": read_only, "is_single": single, "has_tenant_filter": scoped,
+        "allowed": read_only & single & scoped,
+    })
 
 
 def open_tickets_by_product(tickets: DataFrame) -> DataFrame:

@@ -70,14 +70,17 @@ def value_counts(
     by: Sequence[str] = (),
     sums: Mapping[str, Column] | None = None,
     descending: bool = False,
+    rows: Column | None = None,
 ) -> DataFrame:
     """One row per distinct non-null value with its count ``n`` and running sums.
 
+    ``rows`` says how many rows one row of ``df`` stands for (1 by default).
+
     Columns: ``by``, ``col``, ``n`` and every name in ``sums``, each with
     ``_before`` and ``_total``.  Equal values are combined map-side, so a value
     that holds a third of all rows is still one row.
     """
-    measures = {"n": F.lit(1).cast("bigint"), **(sums or {})}
+    measures = {"n": F.lit(1).cast("bigint") if rows is None else rows, **(sums or {})}
     counted = (
         df.where(F.col(col).isNotNull())
         .groupBy(*by, col)
@@ -93,7 +96,6 @@ def column_quantiles(
     probs: Mapping[str, float],
     interpolate: bool = True,
     accuracy: int = 10000,
-    small: int = 100_000,
 ) -> DataFrame:
     """Exact quantiles of several columns: one row (``variable``, one column per entry of ``probs``).
 
@@ -102,8 +104,7 @@ def column_quantiles(
     A sketch first gives a narrow window of values around each quantile and a second
     scan counts what lies below it; then only the values inside the windows (a few
     ten-thousandths of the rows) are shuffled and ranked.  If a window turns out not to
-    hold its quantile, or the column has no more than ``small`` values, the whole
-    column is ranked instead.  The two scans are eager and bring one row each to the
+    hold its quantile, the whole column is ranked instead.  The two scans are eager and bring one row each to the
     driver.
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
@@ -126,23 +127,19 @@ def column_quantiles(
                 wanted[c, name] = math.floor(p * (n - 1)), math.ceil(p * (n - 1))
             else:
                 wanted[c, name] = (max(math.ceil(p * n) - 1, 0),) * 2
-            whole = (sketch[c]["lo"], sketch[c]["hi"])
-            window[c, name] = whole if n <= small else tuple(sketch[c]["edges"][2 * i: 2 * i + 2])
+            window[c, name] = tuple(sketch[c]["edges"][2 * i: 2 * i + 2])
     if not wanted:
         return data.sparkSession.createDataFrame([], "variable string, " + ", ".join(f"{q} double" for q in probs))
 
-    narrowed = [key for key in wanted if sketch[key[0]]["n"] > small]
-    if narrowed:
-        counts = data.agg(*[
-            F.struct(F.count_if(F.col(c) < window[c, q][0]), F.count_if(F.col(c) <= window[c, q][1]))
-            for c, q in narrowed
-        ]).first()
-        for (c, q), (below, upto) in zip(narrowed, counts):
-            first, last = wanted[c, q]
-            if below <= first and last < upto:
-                wanted[c, q] = first - below, last - below
-            else:
-                window[c, q] = sketch[c]["lo"], sketch[c]["hi"]
+    counts = data.agg(*[
+        F.struct(F.count_if(F.col(c) < window[c, q][0]), F.count_if(F.col(c) <= window[c, q][1])) for c, q in wanted
+    ]).first()
+    for (c, q), (below, upto) in zip(list(wanted), counts):
+        first, last = wanted[c, q]
+        if below <= first and last < upto:
+            wanted[c, q] = first - below, last - below
+        else:
+            window[c, q] = sketch[c]["lo"], sketch[c]["hi"]
 
     # Quantiles with the same window share its ranked values.
     spans = sorted({(c, window[c, q]) for c, q in wanted})

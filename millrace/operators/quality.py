@@ -56,6 +56,20 @@ def count_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
+def orphan_rules(df: DataFrame, parents: Mapping[str, tuple[DataFrame, str, str]]) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with a flag for every parent key it lacks, and the flags as rules for ``count_violations``.
+
+    ``parents``: check name to (parent, child key, parent key).  Each parent is joined once, by its distinct
+    keys, and all rules are counted in one pass over ``df``.
+    """
+    out, rules = df, {}
+    for name, (parent, child_key, parent_key) in parents.items():
+        keys = parent.select(F.col(parent_key).alias(f"_{name}_key")).distinct().withColumn(f"_{name}", F.lit(True))
+        out = out.join(keys, F.col(child_key) == F.col(f"_{name}_key"), "left")
+        rules[name] = F.col(f"_{name}").isNull()
+    return out, rules
+
+
 def run_suite(parts: Sequence[DataFrame]) -> DataFrame:
     """Combine (check, violations) tables and add whether each check passed."""
     every = reduce(lambda a, b: a.unionByName(b), parts)

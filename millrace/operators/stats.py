@@ -11,6 +11,7 @@ from millrace.functions import chi2_sf, normal_cdf, plain_number
 from millrace.functions.constants import F_CRITICAL_05, NOT_SIGNIFICANT, SIGNIFICANT
 from millrace.functions.exprs import normal_tail
 from millrace.operators.ordering import column_quantiles, value_counts
+from millrace.session import materialize
 
 
 def one_row(stats: DataFrame, name: str = "_s") -> Column:
@@ -76,17 +77,17 @@ def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
 def spearman(df: DataFrame, x: str, y: str, ties: str = "min") -> DataFrame:
     """Rank correlation; ``ties='min'`` ranks like RANK(), ``'average'`` uses mid-ranks.
 
-    Equal (x, y) pairs are counted first, ranks are computed on distinct values and
-    joined back to the distinct pairs, so no window sees the whole table.
+    Equal (x, y) pairs are counted first and stored: ranks of the distinct values come from them
+    and are joined back to them, so the table is read once and no window sees it whole.
     """
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).alias("x"), F.col(y).alias("y"))
-    pairs = both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+    pairs = materialize(both.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")))
 
     def ranks(col: str) -> DataFrame:
         mid = (F.col("n") + 1) / 2 if ties == "average" else F.lit(1.0)
         # Ranks from the middle of the table, which keeps the sums below small.
         rank = F.col("n_before") + mid - F.col("n_total") / 2
-        return value_counts(both, col).select(col, rank.alias(f"r{col}"))
+        return value_counts(pairs, col, rows=F.col("w")).select(col, rank.alias(f"r{col}"))
 
     ranked = pairs.join(ranks("x"), "x").join(ranks("y"), "y")
     centred = ranked.select(F.col("w").cast("double").alias("w"), F.col("rx").alias("a"), F.col("ry").alias("b"))
@@ -235,12 +236,15 @@ def mann_whitney(
 
 
 def kruskal_wallis(df: DataFrame, group: str, col: str) -> DataFrame:
-    """Tie-corrected Kruskal-Wallis H, chi-square p-value and degrees of freedom."""
+    """Tie-corrected Kruskal-Wallis H, chi-square p-value and degrees of freedom.
+
+    Reads the rows once; ranks come from the stored counts per (group, value).
+    """
     data = df.where(F.col(col).isNotNull() & F.col(group).isNotNull()).select(
         F.col(group).alias("g"), F.col(col).alias("v")
     )
-    cells = data.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-    ranks = value_counts(data, "v").select(
+    cells = materialize(data.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")))
+    ranks = value_counts(cells, "v", rows=F.col("n")).select(
         "v",
         (F.col("n_before") + (F.col("n") + 1) / 2).alias("mid"),
         F.col("n").alias("tie"),

@@ -56,7 +56,8 @@ def chunk_delta(df: DataFrame, id_col: str, body: str, updated: str, since, sep:
 
 
 def redact_email(col: Column) -> Column:
-    return F.regexp_replace(col, EMAIL_PATTERN, EMAIL_MASK)
+    """Addresses masked.  Texts without an @ are left alone: the pattern would start anew at each letter."""
+    return F.when(F.contains(col, F.lit("@")), F.regexp_replace(col, EMAIL_PATTERN, EMAIL_MASK)).otherwise(col)
 
 
 def pack_text(

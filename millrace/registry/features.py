@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions import constants as c
+from millrace.functions.exprs import EARTH_RADIUS_M
 from millrace.operators import evaluate as ev
 from millrace.operators import features as f
 from millrace.operators import forecast as fc
@@ -125,22 +126,33 @@ def _(t):
     return rounded(out.withColumn("price", F.col("price").cast("double")), {"category_target_enc": 4})
 
 
+#: Made-up coordinates of trips, in degrees: a multiplier of the user's number for each.
+POINTS = [(7, "lon_a"), (11, "lat_a"), (13, "lon_b"), (17, "lat_b")]
+
+
 def trips(t):
     """Events as trips; the value is the duration."""
     return t.events.select(
         "event_id", F.col("event_type").alias("usertype"), F.col("value").alias("tripduration"),
         F.col("ts").alias("starttime"),
         F.concat(F.lit("station_"), F.col("user_id").cast("string")).alias("start_station_name"),
+        *[((F.col("user_id") * k % 3600) / 20.0 - 90.0).alias(n) for k, n in POINTS],
     )
 
 
-@query("classification_features", """
+POINTS_SQL = ", ".join(f"radians(user_id * {k} % 3600 / 20.0::DOUBLE - 90.0::DOUBLE) AS {n}" for k, n in POINTS)
+
+
+@query("classification_features", f"""
+WITH p AS (SELECT *, {POINTS_SQL} FROM events WHERE event_type IS NOT NULL AND value BETWEEN 60 AND 7200),
+h AS (SELECT *, pow(sin((lat_b - lat_a) / 2), 2) + cos(lat_a) * cos(lat_b) * pow(sin((lon_b - lon_a) / 2), 2) AS h FROM p)
 SELECT event_type AS usertype, value AS tripduration, CAST(ts AS VARCHAR) AS starttime, hour(ts) AS start_hour,
-       dayofweek(ts) + 1 AS day_of_week, 'station_' || user_id AS start_station_name
-FROM events WHERE event_type IS NOT NULL AND value BETWEEN 60 AND 7200""")
+       dayofweek(ts) + 1 AS day_of_week, 'station_' || user_id AS start_station_name,
+       {r_sql(f"{2 * EARTH_RADIUS_M} * asin(sqrt(least(h, 1.0)))", 2)} AS distance_m FROM h""")
 def _(t):
-    out = f.trip_features(trips(t), "usertype", "tripduration", "starttime", "start_station_name")
-    return out.withColumn("starttime", F.col("starttime").cast("string"))
+    out = f.trip_features(trips(t), "usertype", "tripduration", "starttime", "start_station_name",
+                          start_point=("lon_a", "lat_a"), end_point=("lon_b", "lat_b"))
+    return rounded(out.withColumn("starttime", F.col("starttime").cast("string")), {"distance_m": 2})
 
 
 def places(t):
@@ -149,12 +161,15 @@ def places(t):
                              min_rows=100, low=1000, high=100000)
 
 
-@query("station_features", f"""
+PLACES_SQL = f"""
 SELECT l_suppkey, count(*) AS total_trips, {r_sql('avg(l_extendedprice)', 5)} AS avg_duration,
        {r_sql('stddev_samp(l_extendedprice)', 5)} AS stddev_duration,
        count(DISTINCT CAST(l_shipdate AS DATE)) AS active_days, avg(hour(l_shipdate)) AS avg_start_hour,
        count(DISTINCT l_returnflag) AS user_types
-FROM lineitem WHERE l_extendedprice BETWEEN 1000 AND 100000 GROUP BY 1 HAVING count(*) >= 100""")
+FROM lineitem WHERE l_extendedprice BETWEEN 1000 AND 100000 GROUP BY 1 HAVING count(*) >= 100"""
+
+
+@query("station_features", PLACES_SQL)
 def _(t):
     return rounded(places(t), {"avg_duration": 5, "stddev_duration": 5})
 
@@ -163,10 +178,13 @@ def ratings(t):
     return f.interactions(t.lineitem, ["l_suppkey", "l_partkey"], "l_partkey")
 
 
-@query("interactions", f"""
+RATINGS_SQL = f"""
 SELECT 'user_' || ({HASH_SQL.format("CAST(l_suppkey AS VARCHAR) || CAST(l_partkey AS VARCHAR)")} % 10000) AS user_id,
        l_partkey AS item_id, least(count(*), 5) AS rating
-FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 2""")
+FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 2"""
+
+
+@query("interactions", RATINGS_SQL)
 def _(t):
     return ratings(t)
 
@@ -281,12 +299,12 @@ SELECT feature, CASE WHEN kind = 'categorical' THEN 'l_infinity' ELSE 'jensen_sh
     "SELECT l_returnflag, l_linestatus, l_quantity, l_extendedprice, l_orderkey FROM lineitem"
     " WHERE l_shipdate < TIMESTAMP '1998-01-01'",
     "SELECT l_returnflag, l_linestatus, l_quantity, l_extendedprice, l_orderkey FROM lineitem"
-    " WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_quantity > 10",
+    " WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
     ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"]))
 def _(t):
     cut = F.col("l_shipdate") < F.lit(dt.datetime(1998, 1, 1))
     out = ev.distribution_shift(
-        t.lineitem.where(cut), t.lineitem.where(~cut & (F.col("l_quantity") > 10)),
+        t.lineitem.where(cut), t.lineitem.where(~cut),
         ["l_returnflag", "l_linestatus"], ["l_quantity", "l_extendedprice"],
     )
     return rounded(out, {"value": 9})

@@ -52,18 +52,25 @@ SNAPSHOTS = """(VALUES ('2024-01-01', '20240101T060000Z', '2024-01-01T06:00:00+0
 LZ_SQL = f"""
 WITH {i.CUSTOMERS}
 SELECT customer_id AS id, customer_name AS name, email, country, t AS _ingest_time_utc, 'batch' AS _ingest_type,
-       'customers' AS _entity, snapshot_dt, snapshot_ts FROM customers, {SNAPSHOTS}"""
+       'customers' AS _entity, snapshot_dt, snapshot_ts,
+       'customers/snapshot_dt=' || snapshot_dt || '/snapshot_ts=' || snapshot_ts AS _input_file
+FROM customers, {SNAPSHOTS}"""
 
 
 @query("lz_read", LZ_SQL)
 def _(t):
     df = lz.require_snapshot(lz.lz_read(t.spark, "customers", landed(t, "customers")))
-    return df.drop("_input_file")
+    return source_folder(df, "_input_file")
 
 
 @query("lz_snapshot_filter", LZ_SQL + " WHERE snapshot_dt = '2024-01-02'")
 def _(t):
-    return lz.lz_read(t.spark, "customers", landed(t, "customers"), "2024-01-02").drop("_input_file")
+    return source_folder(lz.lz_read(t.spark, "customers", landed(t, "customers"), "2024-01-02"), "_input_file")
+
+
+def source_folder(df, name):
+    """The source file without what differs from run to run: its folder below the landing zone."""
+    return df.withColumn(name, F.regexp_extract(name, "/([a-z]+/snapshot_dt=[^/]*/snapshot_ts=[^/]*)/[^/]*$", 1))
 
 
 def normalized(t, entity):
@@ -146,14 +153,22 @@ def _(t):
 
 
 @query("parse_or_wrap", """
-SELECT event_id, CASE WHEN event_type NOT IN ('error', 'view') THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
-       CASE WHEN event_type = 'error' THEN 'not json ' || props END AS _corrupt_record,
-       CASE WHEN event_type = 'error' THEN 'non_json_payload' END AS _ingest_error
-FROM events""")
+WITH p AS (
+  SELECT event_id, event_type, props, CASE
+    WHEN event_type = 'error' THEN 'not json ' || props
+    WHEN event_type = 'signup' THEN [CAST(event_id AS VARCHAR), '"text"', '[{"k": 1}]', 'null', NULL][event_id % 5 + 1]
+  END AS wrapped FROM events)
+SELECT event_id,
+       CASE WHEN event_type NOT IN ('error', 'view', 'signup') THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       wrapped AS _corrupt_record, CASE WHEN wrapped IS NOT NULL THEN 'non_json_payload' END AS _ingest_error
+FROM p""")
 def _(t):
     payload = (
         F.when(F.col("event_type") == "error", F.concat(F.lit("not json "), F.col("props")))
         .when(F.col("event_type") == "view", '{"k": "wrong type"}')
+        .when(F.col("event_type") == "signup", F.get(
+            F.array(F.col("event_id").cast("string"), F.lit('"text"'), F.lit('[{"k": 1}]'), F.lit("null"),
+                    F.lit(None).cast("string")), (F.col("event_id") % 5).cast("int")))
         .otherwise(F.col("props"))
     )
     return lz.parse_or_wrap(t.events.select("event_id", payload.alias("payload")), "payload", "k bigint")

@@ -269,16 +269,23 @@ def _(t):
     )
 
 
-@query("embed_chunks")
+@query("embed_chunks", f"""
+WITH {i.ARTICLES}, {CHUNKS}
+SELECT chunk_id, 'hashed-tfidf' AS embedding_model, 256 AS dims,
+       CASE WHEN regexp_matches(lower(chunk_text), '[a-z0-9]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length,
+       true AS sparse
+FROM chunks WHERE language = 'en' AND chunk_text <> ''""")
 def _(t):
-    """Hashed TF-IDF vectors of all English chunks: size, length and number of used dimensions."""
+    """Hashed TF-IDF vectors of all English chunks: of length one if there is a word, with no more used
+    dimensions than words."""
     english = i.articles(t).where(F.col("language") == "en")
     chunks = x.chunk(english, "article_id", "body", "\n")
     embedded = rt.embed(rt.fit_embedder(chunks, "chunk_text"), chunks)
     square = F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v * v)
     return embedded.select(
         "chunk_id", "embedding_model", F.size("embedding").alias("dims"), F.round(F.sqrt(square), 6).alias("length"),
-        F.size(F.filter("embedding", lambda v: v != 0)).alias("used_dims"),
+        (F.size(F.filter("embedding", lambda v: v != 0)) <= F.size(F.split(F.lower("chunk_text"), "[^a-z0-9]+")))
+        .alias("sparse"),
     )
 
 
@@ -449,12 +456,27 @@ def hashed_prompts(t):
     return m.with_input_hash(active, prompt).select("ticket_id", "status", "prompt", "input_hash")
 
 
+#: Prompt, version, model and parameters that the cache is asked for.
+ASKED = ("summary", 2, "model_1", '{"temperature":0.2}')
+
+
 def ticket_cache(t):
-    """Open tickets' prompts as if answered before."""
-    return (
-        hashed_prompts(t).where(F.col("status") == "open").groupBy("input_hash")
-        .agg(F.concat(F.lit("cached "), F.min("ticket_id")).alias("output_text"))
+    """The newest answers of a log in which every prompt was sent to two models, and under an older
+    version, and failed for tickets in progress under the version and model asked for."""
+    settings = F.explode(F.array(*[
+        F.struct(F.lit(v).cast("long").alias("prompt_version"), F.lit(m_).alias("model"))
+        for v, m_ in ((1, "model_0"), (1, "model_1"), (2, "model_0"), (2, "model_1"))
+    ]))
+    log = hashed_prompts(t).select("*", settings.alias("s")).select(
+        F.lit(ASKED[0]).alias("prompt_id"), "s.prompt_version", "s.model", F.lit(ASKED[3]).alias("params_json"),
+        "input_hash",
+        F.concat_ws(" ", F.lit("cached"), F.col("s.model"), F.col("s.prompt_version").cast("string"), "ticket_id")
+        .alias("output_text"),
+        F.lit(i.TICKET_START).cast("timestamp").alias("created_at"),
+        F.when((F.col("status") == "open") | (F.col("s.prompt_version") == 1) | (F.col("s.model") == "model_0"), "ok")
+        .otherwise("error").alias("status"),
     )
+    return m.cache_latest(log, ["output_text"])
 
 
 @query("llm_cache_misses", f"""
@@ -464,17 +486,17 @@ WITH {i.TICKETS}, p AS (
 SELECT DISTINCT sha256(prompt) AS input_hash, prompt FROM p
 WHERE prompt NOT IN (SELECT prompt FROM p WHERE status = 'open')""")
 def _(t):
-    return m.cache_misses(hashed_prompts(t), ticket_cache(t))
+    return m.cache_misses(hashed_prompts(t), ticket_cache(t), *ASKED)
 
 
 @query("llm_cache_merge", f"""
 WITH {i.TICKETS}, p AS (
   SELECT ticket_id, status, 'Summarize ticket: ' || subject || chr(10) || body AS prompt FROM tickets
   WHERE status IN ('open', 'in_progress')),
-cache AS (SELECT prompt, 'cached ' || min(ticket_id) AS known FROM p WHERE status = 'open' GROUP BY 1)
+cache AS (SELECT prompt, 'cached model_1 2 ' || max(ticket_id) AS known FROM p WHERE status = 'open' GROUP BY 1)
 SELECT ticket_id, coalesce(known, split_part(prompt, chr(10), 1)) AS summary_text FROM p LEFT JOIN cache USING (prompt)""")
 def _(t):
-    return g.merge_cached(hashed_prompts(t), ticket_cache(t))
+    return g.merge_cached(hashed_prompts(t), ticket_cache(t), *ASKED)
 
 
 # ---- evaluation sets, reviews, access
@@ -543,18 +565,15 @@ def _(t):
 
 @query("query_log_audit", """
 WITH l AS (
-  SELECT event_id, 'src' || (user_id % 20) AS tenant,
-         CASE event_type
-           WHEN 'click' THEN 'SELECT * FROM tickets WHERE product_id = ''src' || (user_id % 20) || ''''
-           WHEN 'view' THEN '  select count(*) from tickets'
-           WHEN 'purchase' THEN 'with t as (select 1) select * from t where product_id=''src' || (user_id % 19) || ''''
-           WHEN 'error' THEN 'DELETE FROM tickets WHERE product_id = ''src' || (user_id % 20) || ''''
-           ELSE props END AS statement FROM events),
-v AS (SELECT *, upper(regexp_extract(statement, '^\\s*([A-Za-z]+)', 1)) AS verb,
-             instr(regexp_replace(statement, '\\s*=\\s*', '=', 'g'), 'product_id=''' || tenant || '''') > 0 AS scoped
-      FROM l)
-SELECT event_id, verb, verb IN ('SELECT', 'WITH') AS is_read_only, scoped AS has_tenant_filter,
-       verb IN ('SELECT', 'WITH') AND scoped AS allowed FROM v""".replace("\\\\", "\\"))
+  SELECT event_id, event_id % 6 AS change,
+         CASE event_type WHEN 'click' THEN 'SELECT' WHEN 'view' THEN 'SELECT' WHEN 'purchase' THEN 'WITH'
+           WHEN 'error' THEN 'DELETE' ELSE '' END AS verb,
+         CASE event_type WHEN 'click' THEN true WHEN 'error' THEN true
+           WHEN 'purchase' THEN user_id % 20 = user_id % 19 ELSE false END AS scoped
+  FROM events)
+SELECT event_id, verb, verb IN ('SELECT', 'WITH') AND change <> 1 AS is_read_only, change NOT IN (1, 2) AS is_single,
+       scoped AND change NOT IN (3, 4) AS has_tenant_filter,
+       verb IN ('SELECT', 'WITH') AND scoped AND change NOT IN (1, 2, 3, 4) AS allowed FROM l""")
 def _(t):
     tenant = F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string"))
     near = F.concat(F.lit("src"), (F.col("user_id") % 19).cast("string"))
@@ -567,6 +586,16 @@ def _(t):
         .when(kind == "error", F.concat(F.lit("DELETE FROM tickets WHERE product_id = '"), tenant, F.lit("'")))
         .otherwise(F.col("props"))
     )
+    # One in six each: a second statement that writes or reads, the predicate in a comment or on another column.
+    change = F.col("event_id") % 6
+    statement = (
+        F.when(change == 1, F.concat(statement, F.lit("; DROP TABLE tickets")))
+        .when(change == 2, F.concat(statement, F.lit("; SELECT 1;")))
+        .when(change == 3, F.regexp_replace(statement, "(?i)where", "-- where"))
+        .when(change == 4, F.regexp_replace(statement, "product_id", "xproduct_id"))
+        .when(change == 5, F.concat(F.regexp_replace(statement, "product_id", "PRODUCT_ID"), F.lit(" -- done; ok")))
+        .otherwise(statement)
+    )
     log = t.events.select("event_id", statement.alias("statement"), tenant.alias("tenant"))
     return m.query_log_audit(log, "statement", "product_id", F.col("tenant")).drop("statement", "tenant")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -48,9 +49,31 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_WORK: set[str] = set()
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; ``clean_work`` removes it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _WORK.add(path)
+    return path
+
+
+def clean_work(spark: SparkSession | None = None) -> None:
+    """Remove the work folders made so far.  DataFrames that read them can't be used any more.
+
+    Runs by itself at the end of the program, if the session is still there.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WORK:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WORK.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+atexit.register(clean_work)
 
 
 def materialize(df: DataFrame) -> DataFrame:

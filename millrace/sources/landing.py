@@ -12,8 +12,6 @@ from millrace.functions.constants import (
     BATCH_ORDER_DEFAULTS,
     CREATED_AT_FORMATS,
     NON_JSON_ERROR,
-    SNAPSHOT_DT_PATTERN,
-    SNAPSHOT_TS_PATTERN,
 )
 
 # Field names and types of the landed files.
@@ -41,13 +39,18 @@ def path_part(pattern: str) -> Column:
 
 
 def lz_read(spark: SparkSession, entity: str, path: str, snapshot_dt: str | None = None) -> DataFrame:
-    """Read one entity's NDJSON files with its fixed schema, source file and snapshot values."""
-    raw = spark.read.schema(SCHEMAS[entity]).json(path)
+    """Read one entity's NDJSON files with its fixed schema, source file and snapshot values.
+
+    The snapshot values are partition columns, read as text ('' without such folders), so no row is
+    worked on for them and a filter prunes folders.  ``path`` may be the entity's folder or one below it.
+    """
+    reader = spark.read.schema(SCHEMAS[entity] + ", snapshot_dt string, snapshot_ts string")
+    root = path.split("/snapshot_dt=")[0]
+    raw = (reader.option("basePath", root) if root != path else reader).json(path)
     df = raw.select(
         *[F.col(f.name) for f in raw.schema.fields if f.name not in ("snapshot_dt", "snapshot_ts")],
         F.col("_metadata.file_path").alias("_input_file"),
-        path_part(SNAPSHOT_DT_PATTERN).alias("snapshot_dt"),
-        path_part(SNAPSHOT_TS_PATTERN).alias("snapshot_ts"),
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("snapshot_dt", "snapshot_ts")],
     )
     return df if snapshot_dt is None else df.where(F.col("snapshot_dt") == snapshot_dt)
 
@@ -137,13 +140,17 @@ def snapshot_land(df: DataFrame, entity: str, ingest_ts: datetime, root: str) ->
 
 
 def parse_or_wrap(df: DataFrame, raw: str, schema: str) -> DataFrame:
-    """Parse a JSON text column; keep what is not JSON as ``_corrupt_record`` with an error name.
+    """Parse a JSON object in a text column; keep all else as ``_corrupt_record`` with an error name.
 
-    A field of the wrong type becomes NULL but the row still counts as JSON.
+    Numbers, strings, arrays and ``null`` are valid JSON but no records, so they are kept as well.  A field
+    of the wrong type becomes NULL but the row still counts as a record.  A NULL payload has nothing to
+    keep and gives NULLs alone.
     """
     names = StructType.fromDDL(schema).names
     parsed = F.from_json(F.col(raw), schema, {"mode": "PERMISSIVE"})
-    is_json = F.try_parse_json(F.col(raw)).isNotNull()
+    # The second parse is for texts that begin like an object only.
+    is_json = F.when(F.ltrim(F.col(raw)).startswith("{"), F.try_parse_json(F.col(raw)).isNotNull()).otherwise(
+        F.col(raw).isNull())
     return df.withColumn("_parsed", parsed).withColumn("_is_json", is_json).select(
         *[F.col(c) for c in df.columns if c != raw],
         *[F.when(F.col("_is_json"), F.col(f"_parsed.{n}")).alias(n) for n in names],

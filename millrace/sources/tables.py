@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.ordering import latest_per_key
+
 # Bronze table columns and partitions.
 SNAPSHOT_TRAILER = (
     "ingest_ts timestamp, input_file string, ingest_type string, entity string, "
@@ -24,9 +27,9 @@ BRONZE_TABLES = {
     "live_orders": ("id bigint, customer_id bigint, product_id bigint, quantity int, total_amount double, "
                     "unit_price double, currency string, status string, source string, created_at timestamp, "
                     "pubsub_message_id string, pubsub_publish_time timestamp, ingest_ts timestamp, "
-                    "ingest_dt string, ingest_hr string, input_file string, run string, batch int, "
-                    "ingest_date date",
-                    ("run", "batch", "ingest_date")),
+                    "ingest_dt string, ingest_hr string, input_file string, ingest_date date, run string, "
+                    "batch int",
+                    ("ingest_date", "run", "batch")),
 }
 
 
@@ -65,17 +68,20 @@ def _by_partition(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions that occur in ``df``; writing twice changes nothing.
 
-    ``insertInto`` takes the overwrite mode from the session only, so it is set for
-    the duration of the write.
+    The table's folder is written with the mode set for this write alone (``insertInto`` would take it
+    from the session, where writes of other threads would see it), then new partitions are registered.
+    A table without partitions is replaced.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
-    partitions = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
-    try:
-        _by_partition(_in_table_order(df, table), partitions).write.mode("overwrite").insertInto(table)
-    finally:
-        conf.set(key, before)
+    spark = df.sparkSession
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    rows = _in_table_order(df, table)
+    if not partitions:
+        rows.write.mode("overwrite").insertInto(table)
+        return
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    write_folder(rows, where, partitions)
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -113,14 +119,30 @@ def upsert(
     keys: Sequence[str],
     update: Sequence[str],
     extra: Mapping[str, Column] | None = None,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """MERGE as a DataFrame: matched rows take ``update`` columns from ``delta``, new rows are added whole.
 
     ``extra`` sets columns on changed and new rows (for example the time of the
     change).  Both sides are hashed on the key once; rows without a match pass through.
+
+    Two rows of ``delta`` with one key end the job, as MERGE does, unless ``order`` says which comes
+    first: that one is taken.  NULL keys match nothing.
     """
     t = target.withColumn("_t", F.lit(True))
-    s = delta.withColumn("_s", F.lit(True))
+    rest = [c for c in delta.columns if c not in keys]
+    row = F.struct(F.lit(True).alias("_s"), *rest)
+    if order:
+        picked = latest_per_key(delta, list(keys), list(order)).withColumn("_s", F.lit(True))
+    else:
+        # NULL keys stay apart: they match nothing and aren't duplicates of each other.
+        named = delta.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).withColumn("_s", F.lit(True))
+        grouped = delta.dropna(subset=list(keys)).groupBy(*keys).agg(F.first(row).alias("_r"), F.count(F.lit(1)).alias("_n"))
+        checked = F.when(F.col("_n") == 1, F.col("_r")).otherwise(
+            F.raise_error(F.concat_ws(", ", F.lit("several source rows for the key"), *[F.col(k).cast("string") for k in keys])))
+        picked = grouped.select(*keys, checked.alias("_r")).select(*keys, "_r.*").unionByName(
+            named.select(*keys, "_s", *rest))
+    s = picked
     cond = F.lit(True)
     for k in keys:
         cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))

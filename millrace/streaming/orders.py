@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,28 +68,36 @@ def stream_normalize(df: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def write_batch(table_path: str, quarantine_path: str, now: Column | None = None):
+def write_batch(table_path: str, quarantine_path: str, now: Column | None = None, run_id: str | None = None):
     """A ``foreachBatch`` function: normalise, split, write both parts under their batch id.
 
-    Each batch owns the folder ``run=<query id>/batch=<id>`` (split by ingest date) and
-    overwrites it, so a batch replayed after a failure leaves the same rows as one that
-    ran once.  The query id lives in the checkpoint: a stream started with a new
-    checkpoint counts its batches from 0 again but writes beside the old ones.
+    Rows lie in ``ingest_date=<day>/run=<query id>/batch=<id>``, so a reader of some days
+    lists those alone; ``compact_day`` puts the batches of a closed day together.  Each batch
+    owns its folders under all days and replaces them, so a batch replayed after a failure, even
+    past midnight, leaves the same rows as one that ran once.  The query id lives in the
+    checkpoint: a stream started with a new checkpoint counts its batches from 0 again but
+    writes beside the old ones.  Outside of a
+    stream ``run_id`` has to name the run; without either the batch is refused, since two streams
+    would overwrite each other.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        own = f"run={batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId') or 'none'}/batch={batch_id}"
+        run_name = run_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run_name:
+            raise ValueError("no streaming query id: pass run_id")
+        own = f"run={run_name}/batch={batch_id}"
         rows = stream_normalize(batch, now).persist()
         try:
             good, bad = split(rows, order_rule())
+            _remove(batch.sparkSession, f"{table_path}/ingest_date=*/{own}")
             (
                 good.withColumn("created_at", F.col("created_at_ts"))
-                .select(*LIVE_COLUMNS, "ingest_date")
-                .write.mode("overwrite")
-                .partitionBy("ingest_date")
-                .parquet(f"{table_path}/{own}")
+                .select(*LIVE_COLUMNS, "ingest_date", F.lit(run_name).alias("run"), F.lit(batch_id).alias("batch"))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("ingest_date", "run", "batch")
+                .parquet(table_path)
             )
             if not bad.isEmpty():
                 (
@@ -102,6 +111,35 @@ def write_batch(table_path: str, quarantine_path: str, now: Column | None = None
     return run
 
 
+def _remove(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that a path pattern names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(path) or []:
+        fs.delete(found.getPath(), True)
+
+
+def compact_day(spark: SparkSession, table_path: str, day: str) -> None:
+    """Put the batches of a day that gets no more of them into few files.
+
+    The new folder appears whole, then the old ones go.  A reader in between sees rows twice,
+    which the newest-version-per-id of ``live_orders_latest`` hides; a run that fails in between
+    is made good by running again after removing the folder it left.
+    """
+    folder = f"{table_path}/ingest_date={day}"
+    run = f"compacted-{uuid.uuid4().hex}"
+    rows = spark.read.parquet(folder).drop("run", "batch")
+    staged = f"{table_path}/_{run}"
+    rows.hint("rebalance").write.parquet(f"{staged}/batch=0")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in fs.globStatus(path(f"{folder}/run=*"))]
+    if not fs.rename(path(staged), path(f"{folder}/run={run}")):
+        raise OSError(f"could not move {staged}")
+    for done in old:
+        fs.delete(done, True)
+
+
 def start_orders_stream(
     spark: SparkSession,
     in_path: str,

@@ -125,6 +125,13 @@ def test_upsert(spark):
     want = {(1, "a", "x", 0), (2, "B", "y", 9), (3, "C", "W", 9)}
     assert set(map(tuple, once.collect())) == want
     assert set(map(tuple, tb.upsert(once, delta, ["k"], ["v"], {"at": F.lit(9)}).collect())) == want
+    twice = delta.union(spark.createDataFrame([(2, "A", "Q"), (None, "n", "N")], delta.schema))
+    with pytest.raises(Exception, match="several source rows"):
+        tb.upsert(target, twice, ["k"], ["v"]).collect()
+    picked = tb.upsert(target, twice, ["k"], ["v"], {"at": F.lit(9)}, order=[F.asc("v")]).collect()
+    assert sorted(map(tuple, picked), key=str) == [(1, "a", "x", 0), (2, "A", "y", 9), (3, "C", "W", 9), (None, "n", "N", 9)]
+    nulls = spark.createDataFrame([(None, "n", "N"), (None, "m", "N")], delta.schema)
+    assert tb.upsert(target, nulls, ["k"], ["v"]).count() == 4
 
 
 def test_clustered_tables_join_without_shuffle(spark, tmp_path):
@@ -141,9 +148,13 @@ def test_clustered_tables_join_without_shuffle(spark, tmp_path):
 
 
 def test_parse_or_wrap(spark):
-    df = spark.createDataFrame([(1, '{"k": 5}'), (2, "oops"), (3, '{"k": "x"}'), (4, None)], "id int, raw string")
+    df = spark.createDataFrame([(1, '{"k": 5}'), (2, "oops"), (3, '{"k": "x"}'), (4, None),
+                                (5, "123"), (6, '"x"'), (7, '[{"k": 1}]'), (8, "null"), (9, ' {"k": 7} '), (10, '{"k": ')], "id int, raw string")
     got = {r["id"]: (r["k"], r["_corrupt_record"], r["_ingest_error"]) for r in lz.parse_or_wrap(df, "raw", "k int").collect()}
     assert got[1] == (5, None, None) and got[2] == (None, "oops", "non_json_payload") and got[3] == (None, None, None)
+    assert got[4] == (None, None, None) and got[9] == (7, None, None)
+    assert {k: v[1:] for k, v in got.items() if k in (5, 6, 7, 8, 10)} == {
+        k: (raw, "non_json_payload") for k, raw in ((5, "123"), (6, '"x"'), (7, '[{"k": 1}]'), (8, "null"), (10, '{"k": '))}
 
 
 LINE = {"customer_id": 2, "product_id": 5, "quantity": 1, "total_amount": 94.18, "currency": "EUR",
@@ -197,7 +208,7 @@ def test_replayed_batch_writes_the_same_rows(spark, tmp_path):
     raw = spark.createDataFrame([json.dumps({"id": i, **LINE, "quantity": i}) for i in range(4)], "string")
     batch = raw.select(F.from_json("value", lz.SCHEMAS["live_orders"]).alias("r")).select(
         "r.*", F.lit("f").alias("input_file"), F.lit("").alias("ingest_dt"), F.lit("").alias("ingest_hr"))
-    run = live.write_batch(str(tmp_path / "t"), str(tmp_path / "q"))
+    run = live.write_batch(str(tmp_path / "t"), str(tmp_path / "q"), run_id="test")
     for _ in range(2):
         run(batch, 7)
     rows = spark.read.parquet(str(tmp_path / "t")).collect()
@@ -206,7 +217,37 @@ def test_replayed_batch_writes_the_same_rows(spark, tmp_path):
     # Without path values the clock fills them.
     assert rows[0]["ingest_dt"] == f"{rows[0]['ingest_ts']:%Y-%m-%d}" and len(rows[0]["ingest_hr"]) == 2
     run(batch.limit(0), 8)
-    assert not (tmp_path / "t" / "run=none" / "batch=8").exists()
+    assert not list((tmp_path / "t").glob("ingest_date=*/run=test/batch=8"))
+    # Replayed after midnight: the batch's rows of the day before go.
+    late = live.write_batch(str(tmp_path / "t"), str(tmp_path / "q"), F.lit("2031-01-01 00:00:01").cast("timestamp"), "test")
+    late(batch, 7)
+    assert sorted((r["id"], str(r["ingest_date"])) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [
+        (i, "2031-01-01") for i in (1, 2, 3)]
+    with pytest.raises(ValueError, match="run_id"):
+        live.write_batch(str(tmp_path / "t"), str(tmp_path / "q"))(batch, 9)
+
+
+def test_closed_days_are_compacted_and_pruned(spark, tmp_path):
+
+    raw = spark.createDataFrame([json.dumps({"id": i, **LINE}) for i in range(1, 9)], "string")
+    rows = raw.select(F.from_json("value", lz.SCHEMAS["live_orders"]).alias("r")).select(
+        "r.*", F.lit("f").alias("input_file"), F.lit("").alias("ingest_dt"), F.lit("").alias("ingest_hr"))
+    table = str(tmp_path / "t")
+    for day in ("2026-01-05", "2026-01-06"):
+        run = live.write_batch(table, str(tmp_path / "q"), F.lit(f"{day} 12:00:00").cast("timestamp"), "a")
+        for batch in range(3):
+            run(rows.where(F.col("id") % 3 == batch), batch + 10 * int(day[-1]))
+    columns = ["id", "ingest_date", "created_at", "total_amount"]
+    before = sorted(map(tuple, spark.read.parquet(table).select(columns).collect()))
+    assert len(before) == 16
+    live.compact_day(spark, table, "2026-01-05")
+    assert sorted(map(tuple, spark.read.parquet(table).select(columns).collect())) == before
+    runs = [p.name for p in (tmp_path / "t" / "ingest_date=2026-01-05").iterdir() if p.name.startswith("run=")]
+    assert len(runs) == 1 and runs[0].startswith("run=compacted-")
+    latest = lh.live_orders_latest(spark.read.parquet(table), dt.date(2026, 1, 6), horizon_hours=10)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "ingest_date" in plan.split("PartitionFilters")[1][:200]
+    assert latest.count() == 8
 
 
 def test_stream_preview_and_ttl(spark, tmp_path):
@@ -261,7 +302,7 @@ def test_full_refresh(spark, tmp_path):
         df.write.mode("overwrite").parquet(str(tmp_path / name))
         return spark.read.parquet(str(tmp_path / name))
 
-    out = lh.build_all(bronze, write)
+    out = lh.build_all(bronze, write, ts="ingest_ts")
     assert tuple(out["mart_revenue_by_category_daily"].first()) == (ts.date(), "cat", 2, 15)
     assert out["mart_customer_orders"].first()["revenue"] == 15 and out["dim_products"].count() == 1
     assert out["daily_order_metrics"].first()["avg_order_value"] == 7.5

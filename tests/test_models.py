@@ -34,6 +34,28 @@ def test_forest_scores_and_reloads(blobs, tmp_path):
     assert both.where((F.col("p") >= 0.4) != (F.col("business_decision") == "yes")).isEmpty()
 
 
+def test_rows_with_missing_features_are_kept(spark, blobs):
+    holes = blobs.withColumn("x", F.when(F.col("id") % 5 != 0, F.col("x"))).withColumn(
+        "place", F.when(F.col("id") % 7 != 0, F.col("place")))
+    forest = ml.train_forest(holes, "name", ["x", "y"], ["place"], trees=5, depth=4)
+    scored = ml.score(forest, holes, "yes", "no")
+    assert scored.count() == 600 and scored.where("predicted_probability IS NULL").isEmpty()
+    assert ml.assign_clusters(ml.train_kmeans(holes, ["x", "y"], 3), holes).count() == 600
+    assert ml.pca(holes, ["x", "y"])[1].count() == 600 and ml.reconstruction_error(holes, ["x", "y"], 1).count() == 600
+    logistic = ml.train_logistic(holes.withColumn("label", F.col("label").cast("double")), "label", ["x", "y"], cat_cols=["place"])
+    out = ml.explain_linear(logistic, holes, ["x", "y"], holes, top_n=3)
+    assert out.count() == 600 and out.where(F.exists("top_feature_attributions", lambda e: e["attribution"].isNull())).isEmpty()
+    shares = out.select(F.explode("top_feature_attributions").alias("e")).groupBy("e.feature").agg(F.sum("e.attribution").alias("s"))
+    assert all(abs(r["s"]) < 1e-6 for r in shares.collect()) and shares.count() == 3  # around the baseline's mean
+
+
+def test_categories_get_buckets_of_their_own(spark):
+    many = spark.range(5000).selectExpr("concat('s', id) AS place")
+    assert ml.hash_buckets(many, ["place"]) >= 4 * 4500 and ml.hash_buckets(many.limit(3), ["place"]) == 64
+    with pytest.raises(ValueError, match="more than"):
+        ml.train_logistic(many.withColumn("y", F.lit(1.0)), "y", [], cat_cols=["place"])
+
+
 def test_daily_scores_replace_their_day(spark, tmp_path):
     scored = spark.createDataFrame([("a", 0.5, "yes"), ("b", 0.1, "no")], "k string, predicted_probability double, business_decision string")
     for day, rows in (("2024-01-01", scored), ("2024-01-02", scored), ("2024-01-01", scored.limit(1))):

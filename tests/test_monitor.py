@@ -73,3 +73,14 @@ def test_query_log(spark):
     assert [(r["verb"], r["is_read_only"], r["has_tenant_filter"], r["allowed"]) for r in out] == [
         ("SELECT", True, True, True), ("WITH", True, False, False), ("DROP", False, False, False),
         ("UPDATE", False, True, False), ("", False, False, False)]
+
+
+def test_query_log_tricks(spark):
+    good = "SELECT * FROM t WHERE product_id = 'p1'"
+    rows = [(good + "; DROP TABLE t", False), (good + ";", True), ("SELECT 1 FROM t -- WHERE product_id='p1'", False),
+            ("SELECT 1 FROM t WHERE xproduct_id='p1'", False), ("SELECT 1 FROM t WHERE PRODUCT_ID='p1'", True),
+            ("SELECT ';', '--' FROM t WHERE product_id='p1'", True), ("/* x; */ " + good, True),
+            ("WITH a AS (SELECT 1) DELETE FROM t WHERE product_id='p1'", False), ("SELECT 'delete' FROM t WHERE product_id='p1'", True),
+            ("SELECT 1 FROM t WHERE product_id='p12'", False), ("SELECT 1 FROM t WHERE t.product_id='p1'", True), (None, False)]
+    out = m.query_log_audit(spark.createDataFrame(rows, "q string, ok boolean"), "q", "product_id", F.lit("p1")).collect()
+    assert all(r["allowed"] == r["ok"] for r in out), [r for r in out if r["allowed"] != r["ok"]]

@@ -42,7 +42,7 @@ def test_value_counts_running_totals(skewed):
 
 
 @pytest.mark.parametrize("interpolate", [True, False])
-@pytest.mark.parametrize("how", [{}, {"small": 0}, {"small": 0, "accuracy": 20}])
+@pytest.mark.parametrize("how", [{}, {"accuracy": 20}])
 def test_column_quantiles(spark, skewed, interpolate, how):
     rows, df = skewed
     df = df.withColumn("w", F.when(F.col("g").isNotNull(), F.col("id") % 997 / 7)).withColumn("none", F.lit(None))
@@ -58,7 +58,7 @@ def test_column_quantiles(spark, skewed, interpolate, how):
 def test_column_quantiles_when_the_sketch_misses(spark):
     # Far too coarse a sketch: the windows miss, so whole columns are ranked.
     df = spark.range(5000).select(F.col("id").cast("double").alias("v")).repartition(40)
-    out = column_quantiles(df, ["v"], {"m": 0.5, "q": 0.9}, accuracy=2, small=0).first()
+    out = column_quantiles(df, ["v"], {"m": 0.5, "q": 0.9}, accuracy=2).first()
     assert (out["m"], out["q"]) == (2499.5, 4499.1)
 
 

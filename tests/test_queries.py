@@ -1,12 +1,15 @@
 """Every registered query runs; every one with check SQL agrees with DuckDB."""
 
+import re
+
 import pytest
 from oracle import compare
 
 import __spark_entry__ as entry_point
 
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
-MODELS = sorted(set(QUERIES) - set(ORACLES))
+# The training-data queries without SQL have tests of their own beside brute force.
+MODELS = sorted(q for q in set(QUERIES) - set(ORACLES) if not re.match(r"op\d+_|pipeline$", q))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -18,8 +21,7 @@ def test_query_agrees_with_sql(name, spark, data, duck):
 def test_query_without_sql_gives_rows(name, spark, data):
     df = QUERIES[name](spark, data)
     assert len(set(df.columns)) == len(df.columns)
-    if name not in ("kmeans_profile",):  # no supplier has 100 lines at the smallest scale
-        assert not df.isEmpty()
+    assert not df.isEmpty()
 
 
 def test_entry(spark):

@@ -29,8 +29,8 @@ def brute(q, b, k):
     return {(i, int(j)) for i in range(len(q)) for j in np.lexsort((np.arange(len(b)), d[i]))[:k]}
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "block_bytes": 1000}, {"broadcast_bytes": 0}])
-def test_vector_search_is_exact_both_ways(spark, limits):
+@pytest.mark.parametrize("limits", [{}, {"block_bytes": 1000}, {"block_hits": 20}])
+def test_vector_search_is_exact(spark, limits):
     # A third of the base are copies of one vector, more than k of them.
     q, b = vectors(37, 8, 1), vectors(300, 8, 2, copies=100)
     q[0] = b[0]
@@ -80,8 +80,11 @@ def test_hybrid_search(spark):
     best = max(out, key=lambda r: r["hybrid_score"])
     assert np.isclose(best["hybrid_score"], 0.7 + 0.3 * 0.2) and best["lexical_score"] == 2
     assert {r["chunk_id"] for r in rt.hybrid_search(chunks(spark), q, min_score=1).collect()} == {"k1:0", "k1:1", "k3:0"}
-    with pytest.raises(ValueError):
-        rt.hybrid_search(chunks(spark), q.union(q), min_score=1)
+    two = q.union(spark.createDataFrame([("r", "slow dashboards", [0.0, 0.0, 1.0])], q.schema))
+    found = rt.hybrid_search(chunks(spark), two, min_score=1).collect()
+    assert {(r["query_id"], r["chunk_id"]) for r in found} == {("q", "k1:0"), ("q", "k1:1"), ("q", "k3:0"), ("r", "k2:0")}
+    assert {(r["query_id"], r["chunk_id"]) for r in rt.hybrid_search(chunks(spark), two, k=1, min_score=1).collect()} == {
+        ("q", "k1:0"), ("r", "k2:0")}
 
 
 def test_retrieval_context_and_reply(spark):
@@ -156,10 +159,15 @@ def test_equal_inputs_are_generated_once(spark):
     from millrace.operators import monitor as m
 
     prompts = m.with_input_hash(spark.createDataFrame([(1, "Q: a"), (2, "Q: a"), (3, "Q: b")], "ticket_id int, t string"), F.col("t"))
-    cache = prompts.where("ticket_id = 3").select("input_hash", F.lit("known").alias("output_text"))
-    assert m.cache_misses(prompts, cache).count() == 1
-    out = {r["ticket_id"]: r["summary_text"] for r in g.merge_cached(prompts, cache, lambda ps: [p.upper() for p in ps]).collect()}
-    assert out == {1: "Q: A", 2: "Q: A", 3: "known"}
+    settings = [("p", 1, "m", "{}", "known"), ("p", 1, "other", "{}", "wrong model"), ("p", 2, "m", "{}", "wrong version"),
+                ("p", 1, "m", None, "other parameters"), ("q", 1, "m", "{}", "wrong prompt")]
+    keys = spark.createDataFrame(settings, "prompt_id string, prompt_version long, model string, params_json string, output_text string")
+    cache = prompts.where("ticket_id = 3").select("input_hash").crossJoin(keys)
+    asked = ("p", 1, "m", "{}")
+    assert m.cache_misses(prompts, cache, *asked).count() == 1
+    out = g.merge_cached(prompts, cache, *asked, provider=lambda ps: [p.upper() for p in ps]).collect()
+    assert sorted(map(tuple, out)) == [(1, "Q: A"), (2, "Q: A"), (3, "known")]
+    assert m.cache_misses(prompts, cache, "p", 3, "m", "{}").count() == 2
 
 
 def test_safe_retrieval_and_redaction(spark):
