@@ -158,17 +158,21 @@ def random_trials(space: Mapping[str, object], n: int, seed: int = 42) -> list[d
 def tune_gbt(
     df: DataFrame, label: str, num_cols: Sequence[str], cat_cols: Sequence[str] = (),
     space: Mapping[str, object] | None = None, n_trials: int = 20, parallelism: int = 2,
-    split_key: str | None = None, rounds: int = 20, seed: int = 42,
+    split_key: str | None = None, rounds: int = 20, seed: int = 42, max_buckets: int = 1024,
 ) -> tuple[list, DataFrame]:
     """Boosted trees for a 0/1 label under seeded random search.
 
     Trials run as separate Spark jobs, ``parallelism`` at a time, on the same
     prepared training and holdout rows (one fifth, by the hash of ``split_key``).
     Returns the fitted models and the trials: number, settings and metrics.
+
+    Boosted trees look at every input at every node, so categories get ``max_buckets`` hash buckets at
+    most; beyond a quarter as many values, some of them share one.
     """
     space = space or {"stepSize": (0.01, 0.3), "maxDepth": [4, 6, 8, 10], "subsamplingRate": (0.6, 1.0)}
     settings = random_trials(space, n_trials, seed)
-    prepared = Pipeline(stages=_inputs(df, num_cols, cat_cols)).fit(df).transform(
+    buckets = min(hash_buckets(df, cat_cols), max_buckets) if cat_cols else None
+    prepared = Pipeline(stages=_inputs(df, num_cols, cat_cols, buckets)).fit(df).transform(
         kfold(df, split_key, 5, "_part") if split_key else df.withColumn("_part", (F.rand(seed) * 5).cast("int"))
     ).select(F.col(label).cast("double").alias(LABEL), FEATURES, "_part").persist()
 
