@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    WordScan, chunks, joined, mix, pack, pack_sorted, store, text_bytes, unpack, unpack_sorted,
+    WordScan, bounded_batches, chunks, joined, mix, pack, pack_sorted, store, text_bytes, unpack, unpack_sorted,
 )
 
-BLOCK_BYTES = 24 << 20
-RANGE_KEYS = 3 << 20
+BLOCK_BYTES = 8 << 20
+RANGE_KEYS = 1 << 20
 #: Stand for the start and the end of a text among the hashes of words.
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 #: Steps of the grid to a power of two, and buckets of context counts.
@@ -306,7 +306,7 @@ def score_documents(
     spark = docs.sparkSession
     key = F.coalesce(F.col(id).cast("string"), F.lit(""))
     fold = F.when(F.col(id).isNull(), 0).otherwise(F.crc32(key.cast("binary")) % 7).cast("long")
-    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NONE)).alias("id"), fold.alias("fold"),
+    rows = bounded_batches(docs).select(F.coalesce(F.col(id).cast("long"), F.lit(NONE)).alias("id"), fold.alias("fold"),
                        text_bytes(text).alias("text"))
     sizes = rows.agg(
         F.sum(F.octet_length("text")).alias("n"),
