@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import shape, worker_cache
+from millrace.llm.common import bounded_batches, shape, worker_cache
 
 SAFE = re.compile(r"[!-~](?=[ \n])")
 
@@ -77,7 +77,7 @@ def encode(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[id, "ids"])
 
-    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(task, shape({id: rows.schema["id"].dataType, "ids": "array<int>"}))
 
 

@@ -33,7 +33,7 @@ def text_bytes(text: str) -> Column:
 
 
 #: Bytes of a batch that travels between the JVM and Python, about.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:

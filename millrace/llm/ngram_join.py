@@ -42,7 +42,7 @@ from millrace.llm.components import components
 from millrace.operators.ordering import running_sums
 
 #: Bytes of text per block, and hashes per range, about.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 RANGE_TOKENS = 3 << 20
 #: Bytes of a token inside its range of hashes, and among all ranges.  Ranges don't grow with the corpus, so
 #: neither does the chance that two different tokens of a pair of documents look alike.
@@ -209,7 +209,7 @@ def _counting(slots: int):
                 owners.append(np.repeat(np.arange(offset, offset + len(own), dtype=np.int32), runs))
                 offset += len(own)
         if tokens:
-            slot = np.uint64(table.column("slot")[0].as_py() + 1)
+            salt = np.array([table.column("slot")[0].as_py() + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             # The same set in several blocks is one.
             sets, first, same = np.unique(np.concatenate(sets), return_index=True, return_inverse=True)
             sizes = np.concatenate(sizes)[first]
@@ -226,7 +226,7 @@ def _counting(slots: int):
             count = np.repeat(count, count)
             kept = count > 1
             token, owner, count = token[kept], owner[kept], count[kept]
-            token = mix(token ^ (slot * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(64 - 8 * WIDE)
+            token = mix(token ^ salt) >> np.uint64(64 - 8 * WIDE)
             part = (mix(sets.view(np.uint64)) % np.uint64(slots)).astype(np.int32)[owner]
             order = np.lexsort((owner, part))
             token, owner, count, part = token[order], owner[order], count[order], part[order]
@@ -316,7 +316,7 @@ def _verify(percent: int):
     return task
 
 
-def _increments(a: list[np.ndarray], b: list[np.ndarray], most: int = 4_000_000) -> np.ndarray:
+def _increments(a: list[np.ndarray], b: list[np.ndarray], most: int = 1_000_000) -> np.ndarray:
     """How many tokens each list of a has in common with each of b."""
     out = np.zeros(len(a) * len(b), np.int32)
     ta, ia = np.concatenate(a), np.repeat(np.arange(len(a)), [len(x) for x in a])

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import WordScan, chunks, joined, shape, store, text_bytes, windows
+from millrace.llm.common import WordScan, bounded_batches, chunks, joined, shape, store, text_bytes, windows
 
 #: Counts of a text, in order.
 COUNTS = [
@@ -123,7 +123,7 @@ class Counter:
 
 def measure(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` as a struct ``row``, and COUNTS, for every row; NULL counts as an empty text."""
-    rows = docs.select(text_bytes(text).alias("bytes"), F.struct(*[F.col(c) for c in keep]).alias("row"))
+    rows = bounded_batches(docs).select(text_bytes(text).alias("bytes"), F.struct(*[F.col(c) for c in keep]).alias("row"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
@@ -242,15 +242,21 @@ def fit(rows: DataFrame, core: float = 0.75, steps: int = 4, least: int = 50) ->
             yield pd.DataFrame({"g": list(frame["g"]), "center": centers, "inverse": inverses})
 
     for _ in range(steps):
-        placed = data.join(state, "g").withColumn("bin", _bin(_distance()))
-        cut = _quantile_bins(placed.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n")), ["g"], "bin", [core])
+        # Sums per bin of distance: one pass over the rows, and the cut is taken on the bins.  The sums are of
+        # differences from the current centre, which is close: no loss of digits.
         diff = [F.col(f"x{i}") - F.col("center")[i] for i in range(p)]
-        near = placed.join(cut, "g").where(F.col("bin") <= F.col("q0"))
-        # Sums of differences from the current centre, which is close: no loss of digits.
-        sums = near.groupBy("g").agg(
+        binned = data.join(state, "g").withColumn("bin", _bin(_distance())).groupBy("g", "bin").agg(
             F.count(F.lit(1)).alias("n"), *[F.first("center")[i].alias(f"m{i}") for i in range(p)],
             *[F.sum(diff[i]).alias(f"s{i}") for i in range(p)],
             *[F.sum(diff[i] * diff[j]).alias(f"t{i}_{j}") for i, j in pairs])
+        nearer = W.partitionBy("g").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+        near = binned.withColumns({
+            "nearer": F.coalesce(F.sum("n").over(nearer), F.lit(0)), "rows": F.sum("n").over(W.partitionBy("g")),
+        }).where(F.col("nearer") < core * F.col("rows"))
+        sums = near.groupBy("g").agg(
+            F.sum("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
+            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(p)],
+            *[F.sum(f"t{i}_{j}").alias(f"t{i}_{j}") for i, j in pairs])
         centred = sums.select("g", F.col("n").cast("double").alias("n"), *[f"m{i}" for i in range(p)],
                               *[f"s{i}" for i in range(p)],
                               *[(F.col(f"t{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")).alias(f"c{i}_{j}")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import chunks, joined, mix, shape, store, text_bytes
+from millrace.llm.common import bounded_batches, chunks, joined, mix, shape, store, text_bytes
 from millrace.llm.outliers import COUNTS, Counter
 
 HEADS = ("low", "toxic")
@@ -169,7 +169,7 @@ def fit_model(
         .where("low IS NOT NULL AND toxic IS NOT NULL")
         .orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     )
-    rows = docs.select(F.col(id).alias("id"), text_bytes(text).alias("text"))
+    rows = bounded_batches(docs).select(F.col(id).alias("id"), text_bytes(text).alias("text"))
     # max_labelled rows of an id and two flags: under a megabyte at the default.
     chosen = store(rows.join(F.broadcast(ids), "id").select("text", *[F.col(h).cast("int").alias(h) for h in HEADS]), "labelled")
 
@@ -232,7 +232,7 @@ def fit_model(
 
 def score(docs: DataFrame, model: Model | None, keep: Sequence[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` as a struct ``row``, and ``p``: the classifier's probability of an unwanted document."""
-    rows = docs.select(text_bytes(text).alias("text"), F.struct(*[F.col(c) for c in keep]).alias("row"))
+    rows = bounded_batches(docs).select(text_bytes(text).alias("text"), F.struct(*[F.col(c) for c in keep]).alias("row"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
