@@ -37,8 +37,7 @@ def query(name: str, sql: str | None = None):
 def token_orc_query(spark: SparkSession, folder: str) -> DataFrame:
     out = work_path(spark, "tokens")
     token_orc.write_tokens(load(spark, folder, "documents"), out, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    tokens = token_orc.with_starts(token_orc.read_tokens(spark, out))
-    summed = token_orc.checksums(tokens.select("doc_id", "start", "n_tokens", "ids"))
+    summed = token_orc.with_starts(token_orc.checksums(token_orc.read_tokens(spark, out)))
     return summed.select("doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32")
 
 

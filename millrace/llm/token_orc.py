@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import WordScan, chunks, joined, shape, text_bytes, worker_cache
+from millrace.llm.common import WordScan, bounded_batches, chunks, joined, shape, text_bytes, worker_cache
 
 # How byte-level BPE writes bytes as characters. Printable bytes stand for themselves,
 # the others for the characters from 256 on.
@@ -180,7 +180,7 @@ def write_tokens(
                     names=["doc_id", "part", "before", "n_tokens", "ids"])
                 before += int(ends[-1])
 
-    rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
+    rows = bounded_batches(docs).select(F.col(id).cast("long").alias("doc_id"), text_bytes(text).alias("text"))
     placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     encoded = placed.mapInArrow(task, "doc_id long, part int, before long, n_tokens int, ids array<int>")
     (encoded.write.mode("overwrite").option("compression", "snappy")
