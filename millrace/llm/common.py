@@ -45,7 +45,7 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def store(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+def store(df: DataFrame, label: str, folder: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: the plan above starts from files
     that outlive any executor, and readers prune columns.
 
@@ -57,7 +57,7 @@ def store(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**(options or {})).parquet(path)
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,12 +1,14 @@
 """The model beside counts in dictionaries."""
 
 import math
+import random
 import sys
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -95,6 +97,34 @@ def test_odd_rows(spark, monkeypatch):
     assert lm.score_documents(no_documents(spark)).count() == 0
 
 
+def test_rows_in_another_order_in_each_job(spark):
+    """A scan that is cut, or a shuffle that is read, differently whenever it runs loses no document."""
+    def shuffled(batches):
+        for batch in batches:
+            order = list(range(batch.num_rows))
+            random.SystemRandom().shuffle(order)
+            yield batch.take(pa.array(order))
+
+    docs = [(k, f"a b w{k % 5} w{k % 7} c") for k in range(60)]
+    given = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    want, _ = brute(docs)
+    same(lm.score_documents(given.mapInArrow(shuffled, given.schema)).collect(), want)
+
+
+def test_block_without_all_its_answers():
+    row = next(lm._block_rows(iter([pa.RecordBatch.from_pydict({"id": [1], "fold": [3], "text": [b"a b"]})])))
+    left = pa.Table.from_batches([row])
+    task = lm._score(np.full((64, 3), 1 / 3), 3, 3, 1)
+    answer = pa.table({"kind": [1, 2], "slot": [0, 0], "block": [1, 1], "train": [lm.pack(np.ones(3))] * 2})
+    assert task(left, answer).num_rows == 1
+    for some in (answer.slice(0, 0), answer.slice(0, 1)):
+        with pytest.raises(RuntimeError, match="asked for 3 words and 3 pairs"):
+            task(left, some)
+    pairs = pa.Table.from_batches(list(lm._deleted_rows(3)(iter([row]))))
+    with pytest.raises(RuntimeError, match="asked for 3 words and 3 pairs"):
+        lm._grid(3, 1)(pairs, answer.drop_columns("train").append_column("kept", answer["train"]).slice(0, 0))
+
+
 def test_only_held_out_documents(spark):
     ids = [k for k in range(200) if fold(k) == 2][:3]
     docs = spark.createDataFrame([(k, "a b c") for k in ids], "doc_id long, text string")
