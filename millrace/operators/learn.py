@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from millrace.operators.evaluate import eval_metrics
 from millrace.operators.features import kfold
 from millrace.operators.ordering import positions
-from millrace.session import shared_folder
+from millrace.session import materialize, shared_folder
 from millrace.sources.tables import write_folder
 
 LABEL, FEATURES = "_label", "_features"
@@ -155,10 +155,37 @@ def random_trials(space: Mapping[str, object], n: int, seed: int = 42) -> list[d
     return [{name: draw(spec) for name, spec in space.items()} for _ in range(n)]
 
 
+def _target_encoded(parts: DataFrame, names: Mapping[str, str], m: float = 20.0) -> DataFrame:
+    """Add for each category column the mean label of its value, shrunk by ``m`` rows towards the mean of all.
+
+    Holdout rows (part 0) see all training rows, training rows those of the other parts, so no row sees its own
+    label or one of the holdout.  A missing or unknown value has the mean of all.
+    """
+    train = parts.where((F.col("_part") != 0) & F.col(LABEL).isNotNull())
+    totals = {r["_part"]: (r["s"], r["n"]) for r in train.groupBy("_part").agg(
+        F.sum(LABEL).alias("s"), F.count(F.lit(1)).alias("n")).collect()}
+    prior = F.lit(0.0)
+    for part in range(5):
+        s, n = (sum(v[k] for p, v in totals.items() if p != part) for k in (0, 1))
+        prior = F.when(F.col("_part") == part, F.lit(s / n if n else 0.0)).otherwise(prior)
+    out = parts
+    for col, name in names.items():
+        cells = materialize(train.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_c"), F.col("_part").alias("_f")).agg(
+            F.sum(LABEL).alias("_cs"), F.count(F.lit(1)).alias("_cn")))
+        values = cells.groupBy(F.col("_c").alias("_v")).agg(F.sum("_cs").alias("_vs"), F.sum("_cn").alias("_vn"))
+        zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+        out = (
+            out.join(values, F.col(col) == F.col("_v"), "left")
+            .join(cells, (F.col(col) == F.col("_c")) & (F.col("_part") == F.col("_f")), "left")
+            .withColumn(name, (zero("_vs") - zero("_cs") + m * prior) / (zero("_vn") - zero("_cn") + m))
+            .drop("_v", "_vs", "_vn", "_c", "_f", "_cs", "_cn"))
+    return out
+
+
 def tune_gbt(
     df: DataFrame, label: str, num_cols: Sequence[str], cat_cols: Sequence[str] = (),
     space: Mapping[str, object] | None = None, n_trials: int = 20, parallelism: int = 2,
-    split_key: str | None = None, rounds: int = 20, seed: int = 42, max_buckets: int = 1024,
+    split_key: str | None = None, rounds: int = 20, seed: int = 42,
 ) -> tuple[list, DataFrame]:
     """Boosted trees for a 0/1 label under seeded random search.
 
@@ -166,15 +193,19 @@ def tune_gbt(
     prepared training and holdout rows (one fifth, by the hash of ``split_key``).
     Returns the fitted models and the trials: number, settings and metrics.
 
-    Boosted trees look at every input at every node, so categories get ``max_buckets`` hash buckets at
-    most; beyond a quarter as many values, some of them share one.
+    Boosted trees look at every input at every node, so a category is one number, exact for each of its values:
+    its target mean out of fold (``_target_encoded``).
     """
     space = space or {"stepSize": (0.01, 0.3), "maxDepth": [4, 6, 8, 10], "subsamplingRate": (0.6, 1.0)}
     settings = random_trials(space, n_trials, seed)
-    buckets = min(hash_buckets(df, cat_cols), max_buckets) if cat_cols else None
-    prepared = Pipeline(stages=_inputs(df, num_cols, cat_cols, buckets)).fit(df).transform(
-        kfold(df, split_key, 5, "_part") if split_key else df.withColumn("_part", (F.rand(seed) * 5).cast("int"))
-    ).select(F.col(label).cast("double").alias(LABEL), FEATURES, "_part").persist()
+    parts = kfold(df, split_key, 5, "_part") if split_key else df.withColumn("_part", (F.rand(seed) * 5).cast("int"))
+    parts = parts.select(F.col(label).cast("double").alias(LABEL), *dict.fromkeys([*num_cols, *cat_cols]), "_part")
+    encoded = {c: f"_target_{c}" for c in cat_cols}
+    if encoded:
+        parts = _target_encoded(materialize(parts), encoded)
+    inputs = [*num_cols, *encoded.values()]
+    prepared = Pipeline(stages=_inputs(parts, inputs)).fit(parts).transform(parts).select(
+        LABEL, FEATURES, "_part").persist()
 
     def run(numbered):
         number, params = numbered

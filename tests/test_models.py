@@ -102,6 +102,30 @@ def test_tuning_and_pareto(spark, blobs):
     assert ml.random_trials({"a": (0, 1), "b": [1, 2]}, 4, 1) == ml.random_trials({"a": (0, 1), "b": [1, 2]}, 4, 1)
 
 
+def test_boosted_trees_tell_many_categories_apart(spark):
+    """More values than any cap on buckets, each with a label of its own."""
+    rng = np.random.default_rng(4)
+    side = rng.integers(0, 2, 3000)
+    rows = [(k, f"v{k % 3000}", 0.0, int(side[k % 3000])) for k in range(24000)]
+    df = spark.createDataFrame(rows, "id int, place string, x double, y int")
+    trials = ml.tune_gbt(df, "y", ["x"], ["place"], n_trials=1, split_key="id", rounds=2)[1]
+    assert trials.first()["roc_auc"] > 0.95
+
+
+def test_target_encoding_sees_no_label_of_its_own_part(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(k), None if k % 11 == 0 else f"c{int(rng.integers(0, 6))}", int(rng.integers(0, 5)), float(rng.integers(0, 2)))
+            for k in range(200)] + [(200, "only held out", 0, 1.0)]
+    df = spark.createDataFrame(rows, f"id int, c string, _part int, {ml.LABEL} double")
+    got = {r["id"]: r["e"] for r in ml._target_encoded(df, {"c": "e"}).collect()}
+    assert len(got) == len(rows)
+    for k, c, part, _ in rows:
+        seen = [r for r in rows if r[2] not in (0, part)]
+        mine = [r[3] for r in seen if r[1] == c and c is not None]
+        prior = sum(r[3] for r in seen) / len(seen)
+        assert got[k] == pytest.approx((sum(mine) + 20 * prior) / (len(mine) + 20))
+
+
 def test_recommendations_follow_taste(spark):
     rows = [(f"u{u}", f"i{i}", 5 if (u % 2) == (i % 2) else 1) for u in range(20) for i in range(10) if (u + i) % 7]
     df = spark.createDataFrame(rows, "user string, item string, rating int")
