@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators import text as x
 from millrace.plans import lakehouse as lh
 from millrace.registry.core import Tables
 
@@ -167,6 +168,21 @@ EMBEDDED = """base AS (
   SELECT doc_id AS article_id, doc_id AS chunk_id, text AS content, CAST(embedding AS DOUBLE[]) AS embedding
   FROM embeddings JOIN documents ON vec_id = doc_id WHERE lang = 'en')"""
 
+def english_chunks(t: Tables) -> DataFrame:
+    """All chunks of all English articles."""
+    english = articles(t).where(F.col("language") == "en")
+    return x.chunk(english, "article_id", "body", "\n").withColumnRenamed("chunk_text", "content")
+
+
+def asked_tickets(t: Tables) -> DataFrame:
+    """Every conversation as a ticket, with the text of its first user turn (else of its first turn)."""
+    user = F.col("role") == "user"
+    first = F.coalesce(
+        F.min_by(F.when(user, F.col("text")), F.when(user, F.col("turn"))), F.min_by("text", "turn"), F.lit(""))
+    return t.conversations.groupBy(F.col("conv_id").alias("ticket_id")).agg(first.alias("ticket_text")).withColumn(
+        "product_id", F.concat(F.lit("src"), (F.col("ticket_id") % 20).cast("string")))
+
+
 # Distance as the search operator rounds it, from two DOUBLE[] columns a and b.
 DISTANCE = "floor((1 - list_cosine_similarity({a}, {b})) * 1e9 + 0.5) / 1e9"
 

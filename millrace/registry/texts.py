@@ -14,6 +14,7 @@ from millrace.operators import text as x
 from millrace.registry import inputs as i
 from millrace.registry.core import query, r_sql
 from millrace.registry.statistics import rounded
+from millrace.session import materialize
 from millrace.sources.tables import upsert
 
 AS_OF = dt.date(2024, 1, 30)
@@ -307,6 +308,54 @@ def _(t):
     return merged.select("vec_id", "content", F.col("embedding")[0].cast("double").alias("first_value"), "state")
 
 
+# ---- the same searches by text: all English chunks and all questions and tickets, embedded here
+
+
+def text_search(t, asked, text):
+    """Embedded chunks (stored, since several joins read them) and ``asked`` with the vectors of its texts."""
+    chunks = i.english_chunks(t)
+    model = rt.fit_embedder(chunks.withColumn("words", F.col("content")), "words")
+    by = lambda df, col: rt.embed(model, df.withColumn("words", F.coalesce(F.col(col), F.lit("")))).drop("words")
+    return (materialize(by(chunks, "content").select("article_id", "chunk_id", "content", "embedding")),
+            by(asked, text).drop("embedding_model"))
+
+
+def text_questions(t):
+    return text_search(
+        t, t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text")), "query_text")
+
+
+def text_retrieved(t):
+    chunks, tickets = text_search(t, i.asked_tickets(t), "ticket_text")
+    return rt.retrieval_table(tickets, chunks, i.articles(t).select("article_id", "product_ids"))
+
+
+@query("text_vector_search")
+def _(t):
+    chunks, questions = text_questions(t)
+    return rt.vector_search(chunks, questions, 50)
+
+
+@query("text_retrieval_table")
+def _(t):
+    return text_retrieved(t)
+
+
+@query("text_hybrid_search")
+def _(t):
+    return rt.hybrid_search(*text_questions(t))
+
+
+@query("text_rag_context")
+def _(t):
+    return rt.rag_context(text_retrieved(t))
+
+
+@query("text_rag_answer")
+def _(t):
+    return g.rag_answer(rt.rag_context(text_retrieved(t)), i.asked_tickets(t).drop("product_id"), c.REPLY_TEMPLATE)
+
+
 # ---- generation through offline providers: the SQL repeats what the extractive provider picks
 
 

@@ -178,3 +178,36 @@ def test_safe_retrieval_and_redaction(spark):
     assert [r["id"] for r in x.safe_retrieval(df).collect()] == [1]
     mail = spark.createDataFrame([("to a.b+c@mail.example.org, or none@x",)], "t string")
     assert mail.select(x.redact_email(F.col("t"))).first()[0] == "to [REDACTED_EMAIL], or none@x"
+
+
+def test_search_by_text_takes_in_everything(spark, data):
+    from millrace.registry.core import QUERIES, Tables
+    from millrace.registry.inputs import english_chunks
+    from millrace.registry.texts import text_questions
+
+    t = Tables(spark, data)
+    chunks, questions = (df.toPandas() for df in text_questions(t))
+    assert set(chunks["chunk_id"]) == {r[0] for r in english_chunks(t).select("chunk_id").collect()}
+    assert chunks["article_id"].nunique() == t.documents.where("lang = 'en' AND trim(text) <> ''").count()
+    assert len(questions) == t.benchmark.count()
+    base, asked = np.vstack(chunks["embedding"]), np.vstack(questions["embedding"])
+    distance = np.floor((1 - asked @ base.T) * 1e9 + 0.5) / 1e9
+    found = QUERIES["text_vector_search"](spark, data).toPandas()
+    for k, query_id in enumerate(questions["query_id"]):
+        want = np.sort(distance[k])[:50]
+        got = np.sort(found.loc[found["query_id"] == query_id, "distance"])
+        assert np.allclose(got, want, atol=3e-9)
+
+
+def test_a_question_finds_the_chunk_it_repeats(spark):
+    from millrace.registry.texts import text_search
+
+    class T:
+        documents = spark.createDataFrame(
+            [(k, f"alpha{k} beta{k} gamma{k}\nother words of document{k}", "en", "a", 9) for k in range(5000, 5020)],
+            "doc_id long, text string, lang string, source string, n_chars long")
+
+    asked = spark.createDataFrame([(1, "alpha5007 beta5007 gamma5007"), (2, None)], "query_id int, q string")
+    chunks, queries = text_search(T, asked, "q")
+    hits = {r["query_id"]: r for r in rt.vector_search(chunks, queries, 1).collect()}
+    assert hits[1]["base_id"] == "5007:0000" and abs(hits[1]["distance"]) < 1e-8 and 2 in hits
