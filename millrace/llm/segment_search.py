@@ -27,14 +27,16 @@ from pyspark.sql import Window as W
 from millrace.llm.common import store
 from millrace.session import work_path
 
-#: Components are cut to this range, so that 64-bit sums are exact for vectors of up to 2**15 components.
-LIMIT = 1 << 23
+#: Components that reach this end the job.  Pairs whose norms' product reaches it are scored in Python integers,
+#: since sums of 64 bits may not hold them on the way.
+LIMIT = 1 << 62
 
 
 def quantise(vectors: pa.ListArray, scale: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Rows that take part, by length, and their integer components floor(scale * x).
 
-    Left out: NULL vectors, and those that hold a NULL, a NaN or an infinity.
+    Left out: NULL vectors, and those that hold a NULL, a NaN or an infinity.  An integer that 64 bits have no
+    room for is an error.
     """
     n = len(vectors)
     offsets = vectors.offsets.to_numpy()
@@ -48,7 +50,10 @@ def quantise(vectors: pa.ListArray, scale: float) -> dict[int, tuple[np.ndarray,
     for length in np.unique(lengths[good]) if n else []:
         rows = np.flatnonzero(good & (lengths == length))
         at = offsets[rows][:, None] + np.arange(length)
-        out[int(length)] = (rows, np.clip(np.floor(values[at] * scale), -LIMIT, LIMIT).astype(np.int64))
+        whole = np.floor(values[at] * scale)
+        if (np.abs(whole) >= LIMIT).any():
+            raise OverflowError(f"a component times {scale} is beyond 2**62")
+        out[int(length)] = (rows, whole.astype(np.int64))
     return out
 
 
@@ -75,11 +80,17 @@ class Best:
         self.score, self.id, self.null = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
         self.least = np.full(len(ids), np.iinfo(np.int64).min)
 
-    def scores(self, q: np.ndarray, x: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    def scores(self, q: np.ndarray, x: np.ndarray, vectors: np.ndarray, norms: np.ndarray) -> np.ndarray:
         out = np.empty(len(q), np.int64)
+        large = self.norms[q] * norms[x] >= LIMIT
         for a in range(0, len(q), 20_000):
             s = slice(a, a + 20_000)
             out[s] = (self.vectors[q[s]] * vectors[x[s]]).sum(1)
+        for k in np.flatnonzero(large):
+            score = sum(a * b for a, b in zip(self.vectors[q[k]].tolist(), vectors[x[k]].tolist()))
+            if abs(score) >= 1 << 63:
+                raise OverflowError(f"the score of query {self.ids[q[k]]} has no room in 64 bits")
+            out[k] = score
         return out
 
     def offer(self, ids: np.ndarray, null: np.ndarray, vectors: np.ndarray) -> None:
@@ -88,8 +99,9 @@ class Best:
             return
         coarse = [summaries(vectors, m) for m in self.levels]
         # Room for rounding, in units of the two norms.
-        slack = 1e-9 * np.outer(self.norms, np.sqrt((vectors.astype(np.float64) ** 2).sum(1))) + 1e-6
-        floor = self.least.astype(np.float64)
+        norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(1))
+        slack = 1e-9 * np.outer(self.norms, norms) + 1e-6
+        floor = np.where(self.least == np.iinfo(np.int64).min, -np.inf, self.least.astype(np.float64))
         bound = self.bounds[0] @ coarse[0].T + slack
         open_ = bound >= floor[:, None]
         for mine, theirs in zip(self.bounds[1:], coarse[1:]):
@@ -105,7 +117,7 @@ class Best:
         q, x = np.nonzero(open_)
         keep = (self.ids[q] != ids[x]) | null[x]  # every row but the query's own
         q, x = q[keep], x[keep]
-        self._take(q, self.scores(q, x, vectors), ids[x], null[x])
+        self._take(q, self.scores(q, x, vectors, norms), ids[x], null[x])
 
     def _take(self, q, score, id_, null) -> None:
         q = np.concatenate([self.query, q])
@@ -133,7 +145,8 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` rows of ``vectors`` with the highest score for each query; all, if there are fewer.
 
-    Score: inner product of the integer vectors floor(scale * x), components cut to +-2**23.
+    Score: inner product of the integer vectors floor(scale * x), whole; a component
+    or a score that 64 bits have no room for ends the job.
     Ties go to the smaller id, NULL ids last.  Columns: query_id, rank, vec_id, score.
 
     Vectors that are NULL or hold a NULL or non-finite component take no part, as query or

@@ -1,6 +1,7 @@
 """Exact top-k beside a full scan in numpy."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm.segment_search import summaries, top_k
@@ -53,6 +54,27 @@ def test_fewer_rows_than_k_and_none(spark):
     assert top_k(frame(spark, rows[:1]), frame(spark, rows[:1]), k=3).count() == 0
 
 
+def test_large_components_are_whole(spark):
+    rows = [(0, [9000.0, 1.0]), (1, [20000.0, 0.5]), (2, [9000.0, -3.0]), (3, [-50000.0, 0.0]), (4, [8192.0, 2.0]),
+            (5, [2.0**21, 2.0**21]), (6, [2.0**21, -(2.0**21)]), (7, [2.0**20, 2.0**20 - 1])]
+    got = top_k(frame(spark, rows), frame(spark, rows[:7]), k=10, batch_rows=3).collect()
+    assert {tuple(r) for r in got} == brute(rows, rows[:7], 10)
+
+
+def test_scores_beyond_64_bits():
+    from millrace.llm.segment_search import Best, quantise
+
+    q, x = np.array([[1 << 40, 1 << 40]]), np.array([[1 << 40, 5 - (1 << 40)], [3, 4]])
+    best = Best(np.array([1]), q, 5, (1, 2))
+    best.offer(np.array([2, 3]), np.zeros(2, bool), x)
+    assert best.score.tolist() == [7 << 40, 5 << 40] and best.id.tolist() == [3, 2]
+    for far in ([1 << 40, 1 << 40], [-(1 << 40), -(1 << 40)]):
+        with pytest.raises(OverflowError, match="query 1"):
+            Best(np.array([1]), q, 5, (1, 2)).offer(np.array([2]), np.zeros(1, bool), np.array([far]))
+    with pytest.raises(OverflowError, match="component"):
+        quantise(pa.array([[1e30, 0.0]]), 1024.0)
+
+
 def test_bounds_never_fall_below_the_product():
     rng = np.random.default_rng(1)
     a, b = (rng.integers(-2000, 2000, size=(40, 30)).astype(np.int64) for _ in range(2))
