@@ -14,7 +14,7 @@ from millrace.operators import text as x
 from millrace.registry import inputs as i
 from millrace.registry.core import query, r_sql
 from millrace.registry.statistics import rounded
-from millrace.session import materialize
+from millrace.session import materialize, work_path
 from millrace.sources.tables import upsert
 
 AS_OF = dt.date(2024, 1, 30)
@@ -356,6 +356,36 @@ def _(t):
     return g.rag_answer(rt.rag_context(text_retrieved(t)), i.asked_tickets(t).drop("product_id"), c.REPLY_TEMPLATE)
 
 
+@query("text_embedding_merge", f"""
+WITH {i.ARTICLES}, {CHUNKS}
+SELECT chunk_id, md5(chunk_text) AS chunk_hash,
+       CASE WHEN updated_at >= DATE '2024-01-30' THEN 'refreshed' ELSE 'old' END AS state, true AS of_its_text
+FROM chunks WHERE language = 'en' AND chunk_text <> ''""")
+def _(t):
+    """The stored chunk table after the changed chunks were embedded and merged, as read back.
+
+    Before, it held the texts of changed articles in an earlier version, and none of every second one's.
+    """
+    english = i.articles(t).where(F.col("language") == "en")
+    model = rt.fit_embedder(x.chunk(english, "article_id", "body", "\n"), "chunk_text")
+    keep = ["chunk_id", "chunk_text", "chunk_hash", "embedding"]
+    changed = F.col("updated_at") >= F.lit(AS_OF)
+    earlier = english.where(~changed | (F.col("article_id") % 2 == 0)).withColumn(
+        "body", F.when(changed, F.regexp_replace("body", r"(?m)^(?=.*\S)", "earlier ")).otherwise(F.col("body")))
+    table = work_path(t.spark, "chunks")
+    rt.embed(model, x.chunk(earlier, "article_id", "body", "\n")).select(*keep, F.lit("old").alias("state")).write.parquet(table)
+
+    delta = rt.embed(model, x.chunk_delta(english, "article_id", "body", "updated_at", AS_OF, "\n")).select(*keep)
+    merged = upsert(t.spark.read.parquet(table), delta, ["chunk_id"], keep[1:], {"state": F.lit("refreshed")})
+    # A table can't be written while it is read: the merged rows are stored first.
+    materialize(merged).write.mode("overwrite").parquet(table)
+    stored = t.spark.read.parquet(table)
+    again = rt.embed(model, stored.drop("embedding"), out="again")
+    return again.join(stored.select("chunk_id", "embedding"), "chunk_id").select(
+        "chunk_id", "chunk_hash", "state",
+        ((F.md5("chunk_text") == F.col("chunk_hash")) & (F.col("again") == F.col("embedding"))).alias("of_its_text"))
+
+
 # ---- generation through offline providers: the SQL repeats what the extractive provider picks
 
 

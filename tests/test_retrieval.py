@@ -211,3 +211,11 @@ def test_a_question_finds_the_chunk_it_repeats(spark):
     chunks, queries = text_search(T, asked, "q")
     hits = {r["query_id"]: r for r in rt.vector_search(chunks, queries, 1).collect()}
     assert hits[1]["base_id"] == "5007:0000" and abs(hits[1]["distance"]) < 1e-8 and 2 in hits
+
+
+def test_merged_chunks_have_the_vectors_of_their_texts(spark, data):
+    from millrace.registry.core import QUERIES
+
+    rows = QUERIES["text_embedding_merge"](spark, data).collect()
+    assert {r["state"] for r in rows} == {"old", "refreshed"} and all(r["of_its_text"] for r in rows)
+    assert len({r["chunk_id"] for r in rows}) == len(rows)
