@@ -14,7 +14,8 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     ``label`` is the smallest node of the component.  Alternating star operations: every node
     links its larger neighbours, then its smaller ones, to the smallest node it knows, until the
     edges no longer change.  The edges stay distributed; each round writes them to the shared
-    folder, so plans stay short and a lost executor costs one round at most.
+    folder, so plans stay short and a lost executor costs one round at most.  Rounds grow with the logarithm
+    of the longest path; edges that still change after ``most`` rounds end the job.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = store(pairs, "edges")
@@ -34,5 +35,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if check == state:
             break
         state = check
+    else:
+        raise RuntimeError(f"components still change after {most} rounds")
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("label"))).distinct()

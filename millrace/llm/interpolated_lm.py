@@ -24,7 +24,6 @@ Every text is counted and scored whole, and no count is dropped.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import (
-    WordScan, bounded_batches, chunks, joined, mix, pack, pack_sorted, store, text_bytes, unpack, unpack_sorted,
+    WordScan, bounded_batches, chunks, joined, mix, pack, pack_sorted, release, store, text_bytes, unpack, unpack_sorted,
 )
 
 BLOCK_BYTES = 8 << 20
@@ -48,14 +47,6 @@ GRID, BUCKETS = 8, 64
 NONE = -(1 << 63)
 
 
-def _release() -> None:
-    """Hand freed memory back to the system: workers live on between stages, and what they keep counts."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 class Block:
     """The tokens of some documents: ids, fold, tokens per document, distinct hashes (sorted) and for each
     token which of them it is."""
@@ -118,7 +109,7 @@ BLOCKS = "block long, ids binary, folds binary, sizes binary, words binary, toke
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in _cut_blocks(batches):
-        _release()
+        release()
         yield pa.RecordBatch.from_arrays([
             pa.array([block.name()]), pa.array([pack(block.ids)]), pa.array([pack(block.folds)]),
             pa.array([pack(block.sizes)]), pa.array([pack_sorted(block.words)]),
@@ -168,7 +159,7 @@ def _requests(slots: int, held_out: int, deleted: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, kinds)],
                         names=["kind", "slot", "block", "keys", "train", "kept"])
-            _release()
+            release()
 
     return task
 
@@ -189,7 +180,7 @@ def _answers(table: pa.Table) -> pa.Table:
     first = lambda v: [int(v), *[0] * (n - 1)]
     each = {name: [pack(v[same[a:b]]) for a, b in zip(begins, ends)] for name, v in sums.items()}
     del same
-    _release()
+    release()
     return pa.table({
         "kind": table["kind"], "slot": table["slot"], "block": table["block"],
         "train": pa.array(each["train"], pa.binary()), "kept": pa.array(each["kept"], pa.binary()),

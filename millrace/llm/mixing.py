@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.common import WORD, store
@@ -108,6 +109,8 @@ def balance(strata: DataFrame, sources: DataFrame, cap: float, tolerance: float
                     "low", "high", F.abs(F.col("taken") / F.col("target") - 1).alias("gap")), "tilts")
         if not state.where(F.col("gap") > tolerance).take(1):
             break
+    else:
+        raise RuntimeError(f"a source's tilt still misses its target after {most} steps")
     return state.select("key", "source_size", "target", "mean", "tilt")
 
 
@@ -167,13 +170,20 @@ def mix_sources(
 def apply_mix(docs: DataFrame, mixed: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs`` with each row repeated as often as ``mixed`` says, in its own columns.
 
-    Rows that agree in id, source and size get the largest number of copies among them.
+    Rows that agree in id, source and size share the copies of all of them, dealt out by a hash of the row: the
+    mix has as many rows as ``mixed`` says.  NULL texts and texts without words have size 0; no rows
+    give an empty result.
     """
-    per_key = mixed.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    per_key = per_key.select(F.struct("doc_id", "source", "size").alias("key"), "copies").where("copies > 0")
+    # A key's copies, all together, and its rows; most keys have one row.
+    per_key = mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    per_key = per_key.select(F.struct("doc_id", "source", "size").alias("key"), "copies", "rows").where("copies > 0")
     rows = docs.select(
         F.struct("*").alias("row"),
         F.struct(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                  word_count(F.col(text)).alias("size")).alias("key"))
-    kept = rows.join(per_key, "key").select("row", F.explode(F.expr("sequence(1, copies)")))
-    return kept.select("row.*")
+    found = rows.join(per_key, "key")
+    among = W.partitionBy("key").orderBy(F.xxhash64(F.to_json("row")))
+    shared = found.where("rows > 1").withColumn("place", F.row_number().over(among) - 1)
+    dealt = shared.withColumn("copies", F.expr("copies div rows + IF(place < copies % rows, 1, 0)")).drop("place")
+    kept = found.where("rows = 1").unionByName(dealt).where("copies > 0")
+    return kept.select("row", F.explode(F.expr("sequence(1L, copies)"))).select("row.*")

@@ -124,3 +124,66 @@ def test_components(spark):
             parent[max(root(a), root(b))] = min(root(a), root(b))
     assert got == {x: root(x) for x in parent}
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+def test_rows_that_repeat_an_id_or_have_none(spark):
+    """Rows link by text, not by id: unlinked rows stay whatever their id, linked ones leave one."""
+    rng = random.Random(5)
+    a, b, c = (prose(rng, 50) for _ in range(3))
+    rows = [(1, a), (1, b), (2, c), (None, c), (None, c.upper()), (3, a + " end"), (4, ""), (4, ""), (None, None), (5, "x y"),
+            (5, "x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(map(tuple, ngram_join.drop_near_copies(df).collect()), key=repr)
+    assert kept == sorted([(1, a), (1, b), (2, c), (4, ""), (4, ""), (None, None), (5, "x y")], key=repr)
+    nameless = spark.createDataFrame([(None, a), (None, a + " end"), (None, b)], "doc_id long, text string")
+    assert ngram_join.drop_near_copies(nameless).count() == 2
+
+
+def test_tiles_are_bounded(monkeypatch):
+    """A block of 20,000 short sets made of 40 common lines, compared under a limit on memory."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    lines = rng.integers(1, 1 << 48, (40, 5)).astype(np.uint64)
+    lists = [np.unique(lines[rng.choice(40, 5, replace=False)].ravel()) for _ in range(20_000)]
+    table = pa.table({
+        "low": [0] * len(lists), "high": [0] * len(lists), "set": range(len(lists)), "label": range(len(lists)),
+        "block": [0] * len(lists), "size": pa.array([len(x) for x in lists], pa.int32()),
+        "shared": pa.array([len(x) for x in lists], pa.int32()),
+        "tokens": [ngram_join.pack(x, 6) for x in lists], "marks": [b"\7" * len(x) for x in lists]})
+    few = table.slice(0, 2500)
+    tracemalloc.start()
+    tiles = ngram_join._open_tiles(75)(few)
+    parts = ngram_join._tiles(table)
+    assert max(p.num_rows for p in parts) <= ngram_join.TILE_SETS
+    found = [
+        ngram_join._compare(75)(tiles.filter(pa.compute.equal(tiles["tile"], name)).join(
+            few.select(["set", "size", "shared", "tokens"]), "set").combine_chunks())
+        for name in sorted(set(tiles["tile"].to_pylist()))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    links = [(a, b) for t in found for a, b in zip(t["a"].to_pylist(), t["b"].to_pylist())]
+    parent = list(range(2500))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[root(a)] = root(b)
+    got = [root(k) for k in range(2500)]
+    for a, b in links:
+        both = len(np.intersect1d(lists[a], lists[b]))
+        assert 100 * both >= 75 * (len(lists[a]) + len(lists[b]) - both)
+    held = np.zeros((2500, 40), np.float32)
+    for k in range(2500):
+        held[k] = np.isin(lines[:, 0], lists[k])
+    both = (held @ held.T).astype(int) * 5
+    linked = 100 * both >= 75 * (50 - both)
+    for a, b in zip(*np.nonzero(linked)):
+        assert got[a] == got[b]
