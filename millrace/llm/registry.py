@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    byte_bpe, interpolated_lm, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, url_rules,
-    warc_archive,
+    byte_bpe, interpolated_lm, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, turn_repair,
+    url_rules, warc_archive,
 )
 from millrace.session import load, prepare, work_path
 
@@ -151,3 +151,8 @@ def url_rules_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_ngram_join")
 def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_components(load(spark, folder, "documents"), percent=75, width=5)
+
+
+@query("op13_turn_repair")
+def turn_repair_query(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_conversations(load(spark, folder, "conversations"))
