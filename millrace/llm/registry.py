@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    byte_bpe, interpolated_lm, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, turn_repair,
+    byte_bpe, collocations, interpolated_lm, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, turn_repair,
     url_rules, warc_archive,
 )
 from millrace.session import load, prepare, work_path
@@ -156,3 +156,48 @@ def ngram_join_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_turn_repair")
 def turn_repair_query(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.repair_conversations(load(spark, folder, "conversations"))
+
+
+@query("op12_collocations", r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), places AS (
+    SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM words
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM places, (VALUES (1), (2), (3), (4), (5)) AS sizes(k)
+    WHERE i + k - 1 <= len(w)
+    GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (
+    SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM grams WHERE k >= 2
+), inside AS (
+    SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, max(f) AS around
+    FROM candidates, (VALUES (2), (3), (4)) AS shorter(m), (VALUES (1), (2), (3), (4)) AS starts(s)
+    WHERE m < k AND s + m - 1 <= k
+    GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, h.f AS l, t.f AS r, n, j,
+           CAST(CAST(1000 AS HUGEINT) * c.f * n // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+    FROM candidates c
+    JOIN totals USING (lang)
+    CROSS JOIN (VALUES (1), (2), (3), (4)) AS at(j)
+    JOIN grams h ON h.lang = c.lang AND h.k = j AND h.phrase = array_to_string(c.w[1:j], ' ')
+    JOIN grams t ON t.lang = c.lang AND t.k = c.k - j AND t.phrase = array_to_string(c.w[j + 1:c.k], ' ')
+    WHERE j < c.k
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), kept AS (
+    SELECT * FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE around IS NULL OR around < a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+""")
+def collocations_query(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(load(spark, folder, "documents"))
