@@ -164,7 +164,7 @@ WITH pieces AS (
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
     FROM documents
 ), words AS (
-    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
 ), totals AS (
     SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
 ), places AS (
@@ -186,7 +186,7 @@ WITH pieces AS (
            CAST(CAST(1000 AS HUGEINT) * c.f * n // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
     FROM candidates c
     JOIN totals USING (lang)
-    CROSS JOIN (VALUES (1), (2), (3), (4)) AS at(j)
+    CROSS JOIN (VALUES (1), (2), (3), (4)) AS places_cut(j)
     JOIN grams h ON h.lang = c.lang AND h.k = j AND h.phrase = array_to_string(c.w[1:j], ' ')
     JOIN grams t ON t.lang = c.lang AND t.k = c.k - j AND t.phrase = array_to_string(c.w[j + 1:c.k], ' ')
     WHERE j < c.k
