@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    byte_bpe, collocations, interpolated_lm, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, turn_repair,
+    byte_bpe, collocations, interpolated_lm, license_scan, mixing, ngram_join, outliers, segment_search, site_quality, token_orc, turn_repair,
     url_rules, warc_archive,
 )
 from millrace.session import load, prepare, work_path
@@ -201,3 +201,8 @@ SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM ranke
 """)
 def collocations_query(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(load(spark, folder, "documents"))
+
+
+@query("op11_license_scan")
+def license_scan_query(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(load(spark, folder, "documents"))
