@@ -5,6 +5,9 @@ first cut where no piece can span the cut: between a printable ASCII character a
 line feed.  No alternative of the pattern matches a non-space followed by white space, and
 nothing in it looks back, so the pieces left and right of such a place are the same as in the
 whole text.  A stretch without such a place stays whole.
+
+Long white space is taken out before the pattern sees it, because the pattern walks back through it step by step
+and gives up: all of it but the last character is one piece, or all of it at the end of a text.
 """
 
 from __future__ import annotations
@@ -21,6 +24,10 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bounded_batches, shape, worker_cache
 
 SAFE = re.compile(r"[!-~](?=[ \n])")
+# Characters that the pattern's \s stands for (the property White_Space).
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space of so many characters goes past the pattern.
+LONG_WHITE = 10_000
 
 
 def encoding(rank_file: str, pattern: str):
@@ -48,8 +55,15 @@ def pieces(text: str, most: int) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-def encode_text(encoder, text: str, most: int) -> np.ndarray:
-    parts = [encoder.encode_to_numpy(part, disallowed_special=()) for part in pieces(text, most)]
+def encode_text(encoder, text: str, most: int, white: int = LONG_WHITE) -> np.ndarray:
+    parts, start = [], 0
+    for run in re.finditer(f"(?<![{WHITE}])[{WHITE}]{{{white},}}", text) if len(text) >= white else ():
+        before, stop = text[start : run.start()], run.end() - (run.end() < len(text))
+        parts += [encoder.encode_to_numpy(part, disallowed_special=()) for part in pieces(before, most)]
+        # The library's own call for a text that the pattern would leave whole.
+        parts.append(np.array(encoder._encode_single_piece(text[run.start() : stop]), np.int64))
+        start = stop
+    parts += [encoder.encode_to_numpy(part, disallowed_special=()) for part in pieces(text[start:], most)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 

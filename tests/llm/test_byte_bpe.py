@@ -78,3 +78,25 @@ def test_raw_bytes(spark):
     ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, open(RANKS, "rb"))}
     rows = {r["doc_id"]: bytes(r["bytes"]) for r in byte_bpe.decode(half, RANKS, PATTERN).collect()}
     assert rows == {1: ranks[232] + ranks[98], 2: b"", 3: b""}
+
+
+def test_white_space_past_the_pattern(encoder):
+    """Runs that go around the pattern give what the pattern gives, wherever they are."""
+    import random
+
+    rng = random.Random(4)
+    for _ in range(400):
+        text = "".join(rng.choice(["a", "Wort", "'s", "1", "%%", " ", " ", "  ", "\n", "\t", " ", " ", "\x1c", "　　"])
+                       for _ in range(rng.randint(0, 25)))
+        for white in (2, 3, 6):
+            assert byte_bpe.encode_text(encoder, text, 20, white).tolist() == encoder.encode_ordinary(text), repr(text)
+
+
+@pytest.mark.parametrize("run", [" " * 3_000_000, "\n" * 3_000_000, " \n\t" * 1_000_000])
+@pytest.mark.parametrize("text", ["a{}b", "{}b", "a{}", "a{} b  c"])
+def test_very_long_white_space(encoder, run, text):
+    whole = text.format(run)
+    ids = byte_bpe.encode_text(encoder, whole, 100_000)
+    assert encoder.decode_bytes(ids.tolist()) == whole.encode()
+    short = text.format(run[: 3 * 40])
+    assert byte_bpe.encode_text(encoder, short, 100_000, 50).tolist() == encoder.encode_ordinary(short)

@@ -108,3 +108,16 @@ def test_word_count(spark):
 def test_no_python_in_the_plan(spark):
     plan = mixing.mix_sources(skewed(spark, 60))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_equal_rows_share_their_copies(spark):
+    """Rows that agree in id, source and size get as many copies together as the mix says."""
+    rows = [(k % 4, "one two three " * (1 + k % 3), "abc"[k % 3]) for k in range(60)] + [(None, "x y", None)] * 7 + [(9, None, "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(docs).cache()
+    out = mixing.apply_mix(docs, mixed)
+    want = {tuple(r)[:3]: r["n"] for r in mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("n")).collect() if r["n"]}
+    got = {tuple(r)[:3]: r["n"] for r in out.groupBy(
+        "doc_id", "source", mixing.word_count(F.col("text")).alias("size")).agg(F.count("*").alias("n")).collect()}
+    assert got == want
+    assert out.count() == mixed.agg(F.sum("copies")).first()[0]
