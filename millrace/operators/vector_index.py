@@ -21,6 +21,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.exprs import cosine_distance
 from millrace.operators.ordering import latest_per_key
 from millrace.operators.retrieval import _Nearest, _sortable, _unit_rows
 from millrace.session import materialize, work_path
@@ -239,6 +240,35 @@ def search_index(
     return hits.withColumnRenamed("query_id", query_id)
 
 
+def tune_probes(
+    spark: SparkSession, path: str, target: float = 0.95, k: int = 10, queries: int = 200,
+) -> int:
+    """The least number of lists per query that finds ``target`` of the exact k hits of stored rows.
+
+    About ``queries`` rows, picked by a hash of the id, ask; their exact hits come from a certified search, and a hit is
+    found with as many probes as the place of its list in the query's order.
+    """
+    stored = spark.read.parquet(f"{path}/vectors")
+    lists = spark.read.parquet(f"{path}/lists").where(F.col("list") != NOWHERE)
+    n, number = stored.count(), lists.count()
+    if not number:
+        return 1
+    share = int(min(1.0, queries / max(n, 1)) * (1 << 20)) + 1
+    asked = materialize(stored.where((F.col("list") != NOWHERE) & (F.pmod(F.xxhash64("base_id", F.lit(1)), F.lit(1 << 20)) < share)).select(
+        F.col("base_id").alias("query_id"), F.col("v").alias("embedding")))
+    exact = search_index(spark, path, asked, k, certify=True)
+    held = stored.select("base_id", "list")
+    pairs = exact.join(held, "base_id").join(asked, "query_id").join(lists.select("list", "centroid"), "list")
+    # The place of the hit's list: how many centroids are nearer to the query.
+    near = cosine_distance(F.col("embedding"), F.col("centroid"))
+    every = asked.join(lists.select(F.collect_list("centroid").alias("all")), F.lit(True))  # most_lists rows at most
+    ordered = every.select("query_id", F.transform("all", lambda c: cosine_distance(F.col("embedding"), c)).alias("all"))
+    place = pairs.withColumn("near", near).join(ordered, "query_id").select(
+        F.size(F.filter("all", lambda d: d < F.col("near") - 1e-12)).alias("place"))
+    row = place.agg(F.percentile("place", F.lit(target)).alias("p")).first()
+    return min(number, int(np.ceil(row["p"])) + 1) if row["p"] is not None else 1
+
+
 def recall(found: DataFrame, exact: DataFrame, keys: Sequence[str] = ("query_id", "base_id")) -> float:
     """The share of the exact hits that were found."""
     row = exact.select(*keys).join(found.select(*keys, F.lit(True).alias("hit")), list(keys), "left").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import text as x
@@ -154,20 +154,6 @@ ARTICLES = """articles AS (
   FROM documents)"""
 
 
-def embedded_articles(t: Tables) -> DataFrame:
-    """English articles with their stored embedding, one chunk each."""
-    return (
-        t.embeddings.join(t.documents, F.col("vec_id") == F.col("doc_id"))
-        .where(F.col("lang") == "en")
-        .select(F.col("doc_id").alias("article_id"), F.col("doc_id").alias("chunk_id"),
-                F.col("text").alias("content"), "embedding")
-    )
-
-
-EMBEDDED = """base AS (
-  SELECT doc_id AS article_id, doc_id AS chunk_id, text AS content, CAST(embedding AS DOUBLE[]) AS embedding
-  FROM embeddings JOIN documents ON vec_id = doc_id WHERE lang = 'en')"""
-
 def english_chunks(t: Tables) -> DataFrame:
     """All chunks of all English articles."""
     english = articles(t).where(F.col("language") == "en")
@@ -175,14 +161,37 @@ def english_chunks(t: Tables) -> DataFrame:
 
 
 def asked_tickets(t: Tables) -> DataFrame:
-    """Every conversation as a ticket, with the text of its first user turn (else of its first turn)."""
-    user = F.col("role") == "user"
-    first = F.coalesce(
-        F.min_by(F.when(user, F.col("text")), F.when(user, F.col("turn"))), F.min_by("text", "turn"), F.lit(""))
-    return t.conversations.groupBy(F.col("conv_id").alias("ticket_id")).agg(first.alias("ticket_text")).withColumn(
+    """Every conversation as a ticket, with the texts of all its user turns (else of all its turns)."""
+    def told(turns) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(turns)), lambda x: x["text"]), "\n")
+
+    turn = F.struct("turn", "text")
+    user = F.when(F.col("role") == "user", turn)
+    text = F.when(F.count(user) > 0, told(user)).otherwise(told(turn))
+    return t.conversations.groupBy(F.col("conv_id").alias("ticket_id")).agg(text.alias("ticket_text")).withColumn(
         "product_id", F.concat(F.lit("src"), (F.col("ticket_id") % 20).cast("string")))
 
 
+TICKETS_ASKED = """asked AS (
+  SELECT conv_id AS ticket_id, 'src' || (conv_id % 20) AS product_id,
+         coalesce(string_agg(text, chr(10) ORDER BY turn, text) FILTER (role = 'user'),
+                  string_agg(text, chr(10) ORDER BY turn, text)) AS ticket_text
+  FROM conversations GROUP BY conv_id)"""
+
+
+def hashed_sql(name: str, source: str, id: str, text: str, dims: int = 512) -> str:
+    """SQL of ``retrieval.hashed_vectors``: a table (id, cell, v) of unit vectors, weighed by the words of ``chunks``."""
+    h = "CAST('0x' || substr(md5(word), 1, 15) AS BIGINT)"
+    return rf"""{name}_words AS (
+  SELECT id, word, count(*) AS tf FROM (
+    SELECT {id} AS id, unnest(regexp_extract_all(lower({text}), '[\pL\pN]+')) AS word FROM {source}) GROUP BY ALL),
+{name}_cells AS (
+  SELECT id, {h} % {dims} AS cell,
+         sum(CASE WHEN {h} // {dims} % 2 = 0 THEN 1 ELSE -1 END * tf * (ln((n + 1) / (coalesce(df, 0) + 1)::DOUBLE) + 1)) AS w
+  FROM {name}_words LEFT JOIN known USING (word) CROSS JOIN (SELECT count(*) AS n FROM texts) GROUP BY ALL),
+{name} AS (SELECT id, cell, w / nullif(sqrt(sum(w * w) OVER (PARTITION BY id)), 0) AS v FROM {name}_cells)"""
+
+
 # Distance as the search operator rounds it, from two DOUBLE[] columns a and b.
 DISTANCE = "floor((1 - list_cosine_similarity({a}, {b})) * 1e9 + 0.5) / 1e9"
 

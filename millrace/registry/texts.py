@@ -11,11 +11,12 @@ from millrace.operators import generate as g
 from millrace.operators import monitor as m
 from millrace.operators import retrieval as rt
 from millrace.operators import text as x
+from millrace.operators import vector_index as vi
 from millrace.registry import inputs as i
 from millrace.registry.core import query, r_sql
 from millrace.registry.statistics import rounded
 from millrace.session import materialize, work_path
-from millrace.sources.tables import upsert
+from millrace.sources import versioned
 
 AS_OF = dt.date(2024, 1, 30)
 
@@ -181,45 +182,153 @@ def _(t):
     return rt.lexical_score(t.documents, QUERY_TEXT, content="text").select("doc_id", "lexical_score")
 
 
+# ---- retrieval: vectors as they are stored, then chunks, questions and tickets by their texts
+
+
+NEAREST = f"""q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.vec_id AS query_id, b.vec_id AS base_id, {i.DISTANCE.format(a="a.v", b="b.v")} AS distance FROM q a, q b),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, base_id) AS rn FROM p)"""
+
+
 @query("vector_search", f"""
-WITH {i.EMBEDDED}, q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-p AS (SELECT query_id, chunk_id AS base_id, {i.DISTANCE.format(a="embedding", b="v")} AS distance FROM q, base),
-k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, base_id) AS rn FROM p)
-SELECT query_id, base_id, {r_sql("distance", 6)} AS distance FROM k WHERE rn <= 50""")
+WITH {NEAREST} SELECT query_id, base_id, {r_sql("distance", 6)} AS distance FROM k WHERE rn <= 50""")
 def _(t):
     queries = t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
-    return rounded(rt.vector_search(i.embedded_articles(t), queries, 50), {"distance": 6})
+    base = t.embeddings.select(F.col("vec_id").alias("chunk_id"), "embedding")
+    return rounded(rt.vector_search(base, queries, 50), {"distance": 6})
 
 
-def retrieved(t):
-    """Retrieval results for every conversation, embedded by the vector of the same number."""
-    asked = t.conversations.select("conv_id").distinct().join(
-        t.embeddings, F.col("conv_id") == F.col("vec_id")
-    ).select(
-        F.col("conv_id").alias("ticket_id"),
-        F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")).alias("product_id"),
-        "embedding",
-    )
-    return rt.retrieval_table(asked, i.embedded_articles(t), i.articles(t).select("article_id", "product_ids"))
+@query("vector_index_search", f"""
+WITH {NEAREST} SELECT query_id, base_id, {r_sql("distance", 6)} AS distance FROM k WHERE rn <= 10""")
+def _(t):
+    """The same by a stored index: nearest lists first, then those that the bound can't rule out."""
+    index = work_path(t.spark, "index")
+    vi.build_index(t.embeddings, index, id="vec_id")
+    queries = t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
+    return rounded(vi.search_index(t.spark, index, queries, 10, certify=True), {"distance": 6})
 
 
-RETRIEVED = f"""{i.EMBEDDED}, {i.ARTICLES},
-q AS (SELECT DISTINCT conv_id AS ticket_id, 'src' || (conv_id % 20) AS product_id FROM conversations),
-qv AS (SELECT q.*, CAST(embedding AS DOUBLE[]) AS v FROM q JOIN embeddings ON vec_id = ticket_id),
-p AS (SELECT ticket_id, product_id, article_id, chunk_id, content,
-             {i.DISTANCE.format(a="embedding", b="v")} AS distance FROM qv, base),
-k AS (SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY distance, chunk_id) AS rn FROM p),
+@query("vector_index_recall", """
+SELECT CAST(count(*) AS BIGINT) AS queries, true AS enough, true AS pruned FROM embeddings""")
+def _(t):
+    """Recall of ten hits with as many lists per query as a sample of stored rows says is enough."""
+    index = work_path(t.spark, "index")
+    lists = vi.build_index(t.embeddings, index, id="vec_id")
+    probes = vi.tune_probes(t.spark, index, 0.95)
+    queries = t.embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
+    base = t.embeddings.select(F.col("vec_id").alias("chunk_id"), "embedding")
+    exact, found = rt.vector_search(base, queries, 10), vi.search_index(t.spark, index, queries, 10, probes=probes)
+    hit = exact.join(found.withColumn("hit", F.lit(1)).drop("distance"), ["query_id", "base_id"], "left")
+    return hit.agg(
+        F.count_distinct("query_id").alias("queries"), (F.avg(F.coalesce("hit", F.lit(0))) >= 0.9).alias("enough")).withColumn(
+        "pruned", F.lit(probes) < lists.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+def text_search(t, asked, text):
+    """Embedded chunks (stored, since several joins read them) and ``asked`` with the vectors of its texts."""
+    chunks = i.english_chunks(t).select("article_id", "chunk_id", "content")
+    known = materialize(rt.word_frequencies(chunks, "chunk_id", "content"))
+    return (materialize(rt.hashed_vectors(chunks, known, "chunk_id", "content")),
+            materialize(rt.hashed_vectors(asked, known, asked.columns[0], text)))
+
+
+def text_questions(t):
+    return text_search(
+        t, t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text")), "query_text")
+
+
+def text_retrieved(t):
+    chunks, tickets = text_search(t, i.asked_tickets(t), "ticket_text")
+    return rt.retrieval_table(tickets, chunks, i.articles(t).select("article_id", "product_ids"))
+
+
+def product_retrieved(t):
+    """The five nearest chunks of the ticket's own product: the product restricts the search itself."""
+    chunks, tickets = text_search(t, i.asked_tickets(t), "ticket_text")
+    tagged = chunks.join(i.articles(t).select("article_id", "product_ids"), "article_id")
+    index = work_path(t.spark, "index")
+    vi.build_index(tagged, index, tags="product_ids")
+    hits = vi.search_index(t.spark, index, tickets, 5, certify=True, query_id="ticket_id", tag="product_id")
+    return (
+        hits.withColumnRenamed("base_id", "chunk_id").join(tickets.select("ticket_id", "product_id"), "ticket_id")
+        .join(chunks.select("chunk_id", "article_id", "content"), "chunk_id")
+        .select(F.md5(F.col("ticket_id").cast("string")).alias("run_id"), "ticket_id", "product_id", "article_id", "chunk_id",
+                "distance", "content"))
+
+
+TEXTS = f"""{i.ARTICLES}, {CHUNKS},
+texts AS (SELECT article_id, chunk_id, chunk_text AS content FROM chunks WHERE language = 'en' AND chunk_text <> ''),
+known AS (
+  SELECT word, count(*) AS df FROM (
+    SELECT DISTINCT chunk_id, unnest(regexp_extract_all(lower(content), '[\\pL\\pN]+')) AS word FROM texts) GROUP BY word),
+{i.hashed_sql("base", "texts", "chunk_id", "content")}"""
+
+
+def distances_sql(queries: str, id: str, text: str) -> str:
+    """Distances of all queries to all chunks, rounded as the search rounds them."""
+    return rf"""{i.hashed_sql("q", queries, id, text)},
+dots AS (SELECT q.id AS query_id, base.id AS chunk_id, sum(q.v * base.v) AS dot FROM q JOIN base USING (cell) GROUP BY ALL),
+pairs AS (
+  SELECT {queries}.*, texts.*, floor((1 - coalesce(dot, 0)) * 1e9 + 0.5) / 1e9 AS distance
+  FROM {queries} CROSS JOIN texts LEFT JOIN dots ON dots.query_id = {queries}.{id} AND dots.chunk_id = texts.chunk_id)"""
+
+
+QUESTIONS = f"""{TEXTS},
+questions AS (SELECT item_id AS query_id, text AS query_text FROM benchmark),
+{distances_sql("questions", "query_id", "query_text")}"""
+
+TICKETS_TEXT = f"""{TEXTS}, {i.TICKETS_ASKED},
+{distances_sql("asked", "ticket_id", "ticket_text")}"""
+
+RETRIEVED = f"""{TICKETS_TEXT},
+k AS (SELECT *, row_number() OVER (PARTITION BY ticket_id ORDER BY distance, chunk_id) AS rn FROM pairs),
 n AS (SELECT k.*, row_number() OVER (PARTITION BY ticket_id ORDER BY distance, chunk_id) AS place
       FROM k JOIN articles a USING (article_id) WHERE k.rn <= 50 AND list_contains(a.product_ids, k.product_id)),
 found AS (SELECT md5(CAST(ticket_id AS VARCHAR)) AS run_id, * FROM n WHERE place <= 5)"""
 
+PRODUCT_RETRIEVED = f"""{TICKETS_TEXT},
+n AS (SELECT p.*, row_number() OVER (PARTITION BY ticket_id ORDER BY distance, chunk_id) AS place
+      FROM pairs p JOIN articles a USING (article_id) WHERE list_contains(a.product_ids, p.product_id)),
+found AS (SELECT md5(CAST(ticket_id AS VARCHAR)) AS run_id, * FROM n WHERE place <= 5)"""
+
+RETRIEVED_OUT = f"""SELECT run_id, ticket_id, product_id, article_id, chunk_id, {r_sql("distance", 6)} AS distance,
+       md5(content) AS content FROM found"""
+
+CONTEXT_OUT = """SELECT run_id, ticket_id, product_id,
+       md5(string_agg('[' || article_id || ' | ' || chunk_id || ']' || chr(10) || content,
+                      chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place)) AS context_md5,
+       string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY place) AS retrieved_chunk_ids,
+       array_to_string(list_sort(list_distinct(list(article_id))), ',') AS retrieved_article_ids
+FROM found GROUP BY 1, 2, 3"""
+
 
-@query("retrieval_table", f"""
-WITH {RETRIEVED}
-SELECT run_id, ticket_id, product_id, article_id, chunk_id, {r_sql("distance", 6)} AS distance,
-       md5(content) AS content FROM found""")
+def retrieved_out(found):
+    return rounded(found.withColumn("content", F.md5("content")), {"distance": 6})
+
+
+def context_out(found):
+    return rt.rag_context(found).select(
+        "run_id", "ticket_id", "product_id", F.md5("context_text").alias("context_md5"),
+        joined("retrieved_chunk_ids"), joined("retrieved_article_ids"))
+
+
+@query("text_vector_search", f"""
+WITH {QUESTIONS},
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rn FROM pairs)
+SELECT query_id, chunk_id AS base_id, {r_sql("distance", 6)} AS distance FROM k WHERE rn <= 50""")
 def _(t):
-    return rounded(retrieved(t).withColumn("content", F.md5("content")), {"distance": 6})
+    chunks, questions = text_questions(t)
+    return rounded(rt.vector_search(chunks, questions, 50), {"distance": 6})
+
+
+@query("text_retrieval_table", f"WITH {RETRIEVED} {RETRIEVED_OUT}")
+def _(t):
+    return retrieved_out(text_retrieved(t))
+
+
+@query("retrieval_table", f"WITH {PRODUCT_RETRIEVED} {RETRIEVED_OUT}")
+def _(t):
+    return retrieved_out(product_retrieved(t))
 
 
 @query("retrieval_product_filter", f"""
@@ -228,46 +337,45 @@ def _(t):
     return i.articles(t).where(F.array_contains("product_ids", "src3")).select("article_id", "language")
 
 
-def benchmark_queries(t):
-    return t.benchmark.join(t.embeddings, F.col("item_id") == F.col("vec_id")).select(
-        F.col("item_id").alias("query_id"), F.col("text").alias("query_text"), "embedding"
-    )
-
-
-@query("hybrid_search", f"""
-WITH {i.EMBEDDED},
-q AS (SELECT item_id AS query_id, CAST(embedding AS DOUBLE[]) AS v,
-             [w FOR w IN string_split(regexp_replace(lower(text), '[^a-z0-9 ]', ' ', 'g'), ' ') IF length(w) >= 3] AS words
-      FROM benchmark JOIN embeddings ON item_id = vec_id),
-p AS (SELECT query_id, words, article_id, chunk_id, content, {i.DISTANCE.format(a="embedding", b="v")} AS distance
-      FROM q, base),
-k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rn FROM p),
-h AS (SELECT * EXCLUDE (words, rn),
-             len(list_filter(words, lambda w: list_contains(regexp_split_to_array(lower(content), '[^a-z0-9]+'), w)))
-               AS lexical_score FROM k WHERE rn <= 20),
+def hybrid_sql(candidates: str) -> str:
+    """Words of each question that each chunk holds, then the blend over the 20 nearest of ``candidates``."""
+    return f"""
+WITH {QUESTIONS},
+w AS (SELECT query_id, [w FOR w IN string_split(regexp_replace(lower(query_text), '[^a-z0-9 ]', ' ', 'g'), ' ') IF length(w) >= 3]
+        AS words FROM questions),
+s AS (SELECT pairs.*, len(list_filter(words, lambda w: list_contains(regexp_split_to_array(lower(content), '[^a-z0-9]+'), w)))
+        AS lexical_score FROM pairs JOIN w USING (query_id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rn FROM s WHERE {candidates}),
 b AS (SELECT *, 0.7::DOUBLE / (1 + distance) + 0.3::DOUBLE * (least(lexical_score, 10) / 10.0::DOUBLE) AS hybrid_score
-      FROM h),
+      FROM k WHERE rn <= 20),
 n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hybrid_score DESC, chunk_id) AS place FROM b)
 SELECT query_id, article_id, chunk_id, {r_sql("hybrid_score", 6)} AS hybrid_score, lexical_score,
-       {r_sql("distance", 6)} AS distance, md5(content) AS content FROM n WHERE place <= 5""")
+       {r_sql("distance", 6)} AS distance, md5(content) AS content FROM n WHERE place <= 5"""
+
+
+def hybrid_out(found):
+    return rounded(found.withColumn("content", F.md5("content")), {"hybrid_score": 6, "distance": 6})
+
+
+@query("text_hybrid_search", hybrid_sql("true"))
 def _(t):
-    out = rt.hybrid_search(i.embedded_articles(t), benchmark_queries(t))
-    return rounded(out.withColumn("content", F.md5("content")), {"hybrid_score": 6, "distance": 6})
+    return hybrid_out(rt.hybrid_search(*text_questions(t)))
 
 
-@query("rag_context", f"""
-WITH {RETRIEVED}
-SELECT run_id, ticket_id, product_id,
-       md5(string_agg('[' || article_id || ' | ' || chunk_id || ']' || chr(10) || content,
-                      chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place)) AS context_md5,
-       string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY place) AS retrieved_chunk_ids,
-       array_to_string(list_sort(list_distinct(list(article_id))), ',') AS retrieved_article_ids
-FROM found GROUP BY 1, 2, 3""")
+@query("hybrid_search", hybrid_sql("lexical_score >= 2"))
 def _(t):
-    return rt.rag_context(retrieved(t)).select(
-        "run_id", "ticket_id", "product_id", F.md5("context_text").alias("context_md5"),
-        joined("retrieved_chunk_ids"), joined("retrieved_article_ids"),
-    )
+    """Candidates share two words with the question or more."""
+    return hybrid_out(rt.hybrid_search(*text_questions(t), min_score=2))
+
+
+@query("text_rag_context", f"WITH {RETRIEVED} {CONTEXT_OUT}")
+def _(t):
+    return context_out(text_retrieved(t))
+
+
+@query("rag_context", f"WITH {PRODUCT_RETRIEVED} {CONTEXT_OUT}")
+def _(t):
+    return context_out(product_retrieved(t))
 
 
 @query("embed_chunks", f"""
@@ -304,56 +412,10 @@ def _(t):
     delta = t.embeddings.where(F.col("label") >= 4).select(
         "vec_id", (F.col("label") + 100).alias("content"), F.reverse("embedding").alias("embedding")
     )
-    merged = upsert(target, delta, ["vec_id"], ["content", "embedding"], {"state": F.lit("refreshed")})
-    return merged.select("vec_id", "content", F.col("embedding")[0].cast("double").alias("first_value"), "state")
-
-
-# ---- the same searches by text: all English chunks and all questions and tickets, embedded here
-
-
-def text_search(t, asked, text):
-    """Embedded chunks (stored, since several joins read them) and ``asked`` with the vectors of its texts."""
-    chunks = i.english_chunks(t)
-    model = rt.fit_embedder(chunks.withColumn("words", F.col("content")), "words")
-    by = lambda df, col: rt.embed(model, df.withColumn("words", F.coalesce(F.col(col), F.lit("")))).drop("words")
-    return (materialize(by(chunks, "content").select("article_id", "chunk_id", "content", "embedding")),
-            by(asked, text).drop("embedding_model"))
-
-
-def text_questions(t):
-    return text_search(
-        t, t.benchmark.select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text")), "query_text")
-
-
-def text_retrieved(t):
-    chunks, tickets = text_search(t, i.asked_tickets(t), "ticket_text")
-    return rt.retrieval_table(tickets, chunks, i.articles(t).select("article_id", "product_ids"))
-
-
-@query("text_vector_search")
-def _(t):
-    chunks, questions = text_questions(t)
-    return rt.vector_search(chunks, questions, 50)
-
-
-@query("text_retrieval_table")
-def _(t):
-    return text_retrieved(t)
-
-
-@query("text_hybrid_search")
-def _(t):
-    return rt.hybrid_search(*text_questions(t))
-
-
-@query("text_rag_context")
-def _(t):
-    return rt.rag_context(text_retrieved(t))
-
-
-@query("text_rag_answer")
-def _(t):
-    return g.rag_answer(rt.rag_context(text_retrieved(t)), i.asked_tickets(t).drop("product_id"), c.REPLY_TEMPLATE)
+    table = work_path(t.spark, "vectors")
+    versioned.create(target, table, ["vec_id"])
+    versioned.merge(t.spark, table, delta, ["vec_id"], ["content", "embedding"], {"state": F.lit("refreshed")})
+    return versioned.read(t.spark, table).select("vec_id", "content", F.col("embedding")[0].cast("double").alias("first_value"), "state")
 
 
 @query("text_embedding_merge", f"""
@@ -373,13 +435,12 @@ def _(t):
     earlier = english.where(~changed | (F.col("article_id") % 2 == 0)).withColumn(
         "body", F.when(changed, F.regexp_replace("body", r"(?m)^(?=.*\S)", "earlier ")).otherwise(F.col("body")))
     table = work_path(t.spark, "chunks")
-    rt.embed(model, x.chunk(earlier, "article_id", "body", "\n")).select(*keep, F.lit("old").alias("state")).write.parquet(table)
+    first = rt.embed(model, x.chunk(earlier, "article_id", "body", "\n")).select(*keep, F.lit("old").alias("state"))
+    versioned.create(first, table, ["chunk_id"])
 
     delta = rt.embed(model, x.chunk_delta(english, "article_id", "body", "updated_at", AS_OF, "\n")).select(*keep)
-    merged = upsert(t.spark.read.parquet(table), delta, ["chunk_id"], keep[1:], {"state": F.lit("refreshed")})
-    # A table can't be written while it is read: the merged rows are stored first.
-    materialize(merged).write.mode("overwrite").parquet(table)
-    stored = t.spark.read.parquet(table)
+    versioned.merge(t.spark, table, delta, ["chunk_id"], keep[1:], {"state": F.lit("refreshed")})
+    stored = versioned.read(t.spark, table)
     again = rt.embed(model, stored.drop("embedding"), out="again")
     return again.join(stored.select("chunk_id", "embedding"), "chunk_id").select(
         "chunk_id", "chunk_hash", "state",
@@ -429,23 +490,29 @@ def _(t):
     return x.triage_enforce(g.generate_table(triage_prompts(t), "prompt"))
 
 
-@query("rag_answer", f"""
-WITH {RETRIEVED},
-first AS (SELECT conv_id AS ticket_id, arg_min(text, turn) AS ticket_text FROM conversations WHERE role = 'user' GROUP BY 1)
-SELECT run_id, ticket_id,
+ANSWER_OUT = f"""SELECT run_id, ticket_id,
        {first_sentence_sql("any_value(ticket_text)")} || ' ' || {first_sentence_sql("arg_min(content, place)")}
          AS draft_reply,
        string_agg(CAST(chunk_id AS VARCHAR), ',' ORDER BY place) AS retrieved_chunk_ids,
        array_to_string(list_sort(list_distinct(list(article_id))), ',') AS retrieved_article_ids
-FROM found JOIN first USING (ticket_id) GROUP BY 1, 2""")
-def _(t):
-    first = t.conversations.where(F.col("role") == "user").groupBy(F.col("conv_id").alias("ticket_id")).agg(
-        F.min_by("text", "turn").alias("ticket_text")
-    )
-    out = g.rag_answer(rt.rag_context(retrieved(t)), first, c.REPLY_TEMPLATE)
+FROM found GROUP BY 1, 2"""
+
+
+def answer_out(t, found):
+    out = g.rag_answer(rt.rag_context(found), i.asked_tickets(t).drop("product_id"), c.REPLY_TEMPLATE)
     return out.withColumns({n: joined(n) for n in ("retrieved_chunk_ids", "retrieved_article_ids")})
 
 
+@query("text_rag_answer", f"WITH {RETRIEVED} {ANSWER_OUT}")
+def _(t):
+    return answer_out(t, text_retrieved(t))
+
+
+@query("rag_answer", f"WITH {PRODUCT_RETRIEVED} {ANSWER_OUT}")
+def _(t):
+    return answer_out(t, product_retrieved(t))
+
+
 # ---- call log
 
 

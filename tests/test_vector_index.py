@@ -52,6 +52,16 @@ def test_recall_and_pruned_lists(spark, base, index):
     assert 0 < len(few.inputFiles()) and few.select("list").distinct().count() == 2
 
 
+def test_tuned_probes(spark, base, index):
+    """As many lists as a sample needs, and no more: recall holds for other queries too."""
+    probes = vi.tune_probes(spark, index, 0.95)
+    lists = spark.read.parquet(f"{index}/lists").count()
+    assert 1 <= probes < lists
+    queries = queries_of(base, 41)
+    exact = rt.vector_search(base, queries, 10)
+    assert vi.recall(vi.search_index(spark, index, queries, 10, probes=probes), exact) >= 0.9
+
+
 def test_certified_equals_the_full_scan(spark, base, index):
     queries = queries_of(base, 50)
     exact = hits(rt.vector_search(base, queries, 7))
