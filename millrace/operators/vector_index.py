@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def build_index(
     wanted = max(1, min(most_lists, lists or round(n**0.5)))
     share = min(1.0, sample_rows / max(n, 1))
     picked = rows.where((length > 0) & (F.pmod(F.xxhash64("base_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
-    unit = picked.select(array_to_vector(F.transform("v", lambda x: x / F.sqrt(length))).alias("features"))
+    unit = Normalizer(inputCol="raw", outputCol="features").transform(picked.select(array_to_vector("v").alias("raw"))).select("features")
     centroids = np.zeros((0, 0))
     if n:
         fitted = KMeans(k=wanted, maxIter=iterations, seed=seed).fit(materialize(unit)).clusterCenters()

@@ -343,8 +343,9 @@ def hybrid_sql(candidates: str) -> str:
 WITH {QUESTIONS},
 w AS (SELECT query_id, [w FOR w IN string_split(regexp_replace(lower(query_text), '[^a-z0-9 ]', ' ', 'g'), ' ') IF length(w) >= 3]
         AS words FROM questions),
-s AS (SELECT pairs.*, len(list_filter(words, lambda w: list_contains(regexp_split_to_array(lower(content), '[^a-z0-9]+'), w)))
-        AS lexical_score FROM pairs JOIN w USING (query_id)),
+held AS MATERIALIZED (SELECT chunk_id, regexp_split_to_array(lower(content), '[^a-z0-9]+') AS has FROM texts),
+s AS (SELECT pairs.*, len(list_filter(words, lambda w: list_contains(has, w))) AS lexical_score
+      FROM pairs JOIN w USING (query_id) JOIN held USING (chunk_id)),
 k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rn FROM s WHERE {candidates}),
 b AS (SELECT *, 0.7::DOUBLE / (1 + distance) + 0.3::DOUBLE * (least(lexical_score, 10) / 10.0::DOUBLE) AS hybrid_score
       FROM k WHERE rn <= 20),
