@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from millrace.operators import arima
 from millrace.operators import features as f
 from millrace.operators import forecast as fc
 from millrace.operators import learn as ml
@@ -312,3 +313,9 @@ def _(t):
     return out.select("l_returnflag", F.col("forecast_timestamp").cast("string").alias("forecast_timestamp"),
                       F.col("forecast_value").between(F.col("prediction_interval_lower_bound"),
                                                       F.col("prediction_interval_upper_bound")).alias("inside_interval"))
+
+
+@query("forecast_arima")
+def _(t):
+    """Thirty days of every series by its automatic seasonal ARIMA model."""
+    return arima.forecast_arima(daily_by_flag(t), "l_returnflag", "day", "n")
