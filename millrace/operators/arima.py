@@ -124,16 +124,28 @@ def _steady(polynomial: np.ndarray) -> bool:
     return len(trimmed) < 2 or bool(np.abs(np.roots(trimmed[::-1])).min() > LEAST_ROOT)
 
 
+def _product(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The first n terms of the product of two power series."""
+    if min(len(a), len(b)) <= 64:
+        return np.convolve(a, b)[:n]
+    size = 1 << (len(a) + len(b) - 1).bit_length()
+    return np.fft.irfft(np.fft.rfft(a, size) * np.fft.rfft(b, size), size)[: len(a) + len(b) - 1][:n]
+
+
 def _inverse(ma: np.ndarray, n: int) -> np.ndarray:
-    """The first n terms of the power series of 1 / ma, cut off where they have died out."""
-    out = np.zeros(n)
-    out[0] = 1
-    tail = -ma[1:]
-    for k in range(1, n):
-        m = min(k, len(tail))
-        out[k] = tail[:m] @ out[k - m : k][::-1]
-        if k >= len(tail) and np.abs(out[k - len(tail) + 1 : k + 1]).max(initial=0) < 1e-13:
-            return out[: k + 1]
+    """The first n terms of the power series of 1 / ma, cut off where they have died out.
+
+    Newton's iteration doubles the number of right terms.
+    """
+    out, right = np.ones(1), 1
+    while right < n:
+        right = min(2 * right, n)
+        rest = -_product(ma[:right], out, right)
+        rest[0] += 2
+        more = _product(out, rest, right)
+        if right > 2 * len(ma) and np.abs(more[right // 2 :]).max(initial=0) < 1e-13:
+            return more[: right // 2]
+        out = np.r_[more, np.zeros(right - len(more))]
     return out
 
 
@@ -145,10 +157,10 @@ def residuals(w: np.ndarray, orders: Orders, params: np.ndarray, season: int) ->
     filtered = np.convolve(w - mean, ar)[: len(w)]
     if len(ma) == 1:
         return filtered
-    return np.convolve(filtered, _inverse(ma, len(w)))[: len(w)]
+    return _product(filtered, _inverse(ma, len(w)), len(w))
 
 
-def fit_css(w: np.ndarray, orders: Orders, season: int, steps: int = 60) -> Fit:
+def fit_css(w: np.ndarray, orders: Orders, season: int, steps: int = 40) -> Fit:
     """The parameters with the least sum of squared errors, from zero and the series' mean."""
     params = np.zeros(orders.size)
     if orders.constant:
@@ -176,7 +188,7 @@ def fit_css(w: np.ndarray, orders: Orders, season: int, steps: int = 60) -> Fit:
                 params, e, sse, damping = params + step, tried, float(tried @ tried), damping / 5
                 break
             damping *= 4
-        if gained <= 1e-10 * max(sse, 1e-12):
+        if gained <= 1e-9 * max(sse, 1e-12):
             break
     return Fit(orders, params, sse, len(w), e)
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.operators import arima
+from millrace.operators import autoencoder as ae
 from millrace.operators import features as f
 from millrace.operators import forecast as fc
 from millrace.operators import learn as ml
@@ -211,6 +212,14 @@ def _(t):
         (apart & (share <= 0.051) & (share >= 0.02)).alias("flags_follow"))
 
 
+@query("anomaly_autoencoder")
+def _(t):
+    """Every order line with the error of its measures behind a bottleneck of two units, flagged in the top twentieth."""
+    rows = line_measures(t)
+    model = ae.train_autoencoder(rows, MEASURES, rounds=8, batch=512)
+    return ml.flag_anomalies(ae.reconstruct(model, rows))
+
+
 @query("als_recommend", f"""
 WITH r AS ({RATINGS_SQL})
 SELECT user_id, least(10, (SELECT count(DISTINCT item_id) FROM r)) AS items, true AS rated FROM r GROUP BY user_id""")
