@@ -139,7 +139,7 @@ def _(t):
         assigned, {"total_trips": "avg_trips_per_station", "avg_duration": "avg_trip_duration"})
     trips_ = assigned.agg(F.sum("total_trips")).scalar()
     return profile.agg(
-        F.least(F.coalesce(F.sum("members"), F.lit(0)), F.lit(5)).alias("most_clusters"),
+        F.count(F.lit(1)).alias("most_clusters"),
         F.coalesce(F.sum("members"), F.lit(0)).alias("members"),
         F.coalesce(F.bool_and(F.col("cluster_id").between(1, 5)), F.lit(True)).alias("numbered"),
         r(trips_.cast("double"), 3).alias("trips"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from millrace.operators import sketches
 from millrace.operators import stats as s
 from millrace.registry.core import query, r, r_sql
+from millrace.session import work_path
 
 # P(Z > z) for z >= 0, the same polynomial as the library's.
 TAIL_SQL = (
@@ -216,3 +220,21 @@ def _(t):
         for name, args in tables.items()
     ]
     return rounded(out[0].unionByName(out[1]), {"f_statistic": 6, "f_critical": 6})
+
+
+@query("daily_sketches", """
+SELECT event_type, count(*) AS row_count, count(DISTINCT user_id) AS users, true AS users_close, true AS quantiles_close
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY 1""")
+def _(t):
+    """Sixteen days out of stored daily sketches, beside the exact counts and ranks of the same rows."""
+    path = work_path(t.spark, "sketches")
+    sketches.write_days(t.events, path, F.to_date("ts"), ["event_type"], ["user_id"], ["value"])
+    first, last = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+    told = sketches.range_stats(t.spark, path, first, last, ["event_type"])
+    rows = t.events.where(F.to_date("ts").between(F.lit(first), F.lit(last)))
+    exact = rows.join(told.select("event_type", "value_q50"), "event_type").groupBy("event_type").agg(
+        F.count_distinct("user_id").alias("users"), F.avg((F.col("value") <= F.col("value_q50")).cast("double")).alias("below"))
+    return told.join(exact, "event_type").select(
+        "event_type", F.col("rows").alias("row_count"), "users",
+        (F.abs(F.col("user_id_distinct") - F.col("users")) <= F.greatest(F.lit(2.0), 0.08 * F.col("users"))).alias("users_close"),
+        (F.abs(F.col("below") - 0.5) <= 0.05).alias("quantiles_close"))
