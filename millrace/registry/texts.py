@@ -10,6 +10,7 @@ from millrace.functions import constants as c
 from millrace.operators import generate as g
 from millrace.operators import monitor as m
 from millrace.operators import retrieval as rt
+from millrace.operators import runlog
 from millrace.operators import text as x
 from millrace.operators import vector_index as vi
 from millrace.registry import inputs as i
@@ -514,6 +515,22 @@ def _(t):
     return answer_out(t, product_retrieved(t))
 
 
+@query("retrieval_log_written", f"""
+WITH {RETRIEVED},
+runs AS (SELECT ticket_id, count(*) AS hits, min(distance) AS best FROM found GROUP BY 1)
+SELECT '2024-01-30' AS run_date, 'top5' AS retrieval_config_id, count(*) AS run_count, {r_sql("avg(hits)", 6)} AS avg_top_k,
+       {r_sql("avg(best)", 6)} AS avg_best_distance FROM runs HAVING count(*) > 0""")
+def _(t):
+    """The daily view over a retrieval log that the retrieval itself wrote, twice under one run id."""
+    folder, at = work_path(t.spark, "logs"), dt.datetime(2024, 1, 30, 12)
+    rows = runlog.retrieval_rows(text_retrieved(t), "nightly", at, "top5", "hashed-words", "1")
+    for _ in range(2):
+        runlog.write_run(rows, folder, "retrieval_runs", "nightly", at)
+    daily = m.retrieval_runs_daily(runlog.read_log(t.spark, folder, "retrieval_runs"))
+    out = daily.select(F.col("run_date").cast("string").alias("run_date"), "retrieval_config_id", "run_count", "avg_top_k", "avg_best_distance")
+    return rounded(out, {"avg_top_k": 6, "avg_best_distance": 6})
+
+
 # ---- call log
 
 
