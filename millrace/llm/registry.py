@@ -203,6 +203,56 @@ def collocations_query(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(load(spark, folder, "documents"))
 
 
-@query("op11_license_scan")
+def _license_sql() -> str:
+    """The licence scan by a plain search of every template at every place, from the operator's own tables."""
+    templates, base = license_scan.TEMPLATES, license_scan.BASE
+    listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    posts = ", ".join(
+        f"({k}, '{t.label}', {place}, '{word}', {len(t.text.split())}, {len(set(t.key))})"
+        for k, t in enumerate(templates) for place, word in enumerate(t.text.split()) if word not in license_scan.STOP)
+    keys = ", ".join(f"({k}, {listed(p.split())}, '{p}')" for k, t in enumerate(templates) for p in sorted(set(t.key)))
+    bases = ", ".join(f"({listed(p.split())}, '{label}')" for p, label in base)
+    return rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), posts(template, label, place, word, length, keys) AS (VALUES {posts}
+), must(template, words, phrase) AS (VALUES {keys}
+), base(words, label) AS (VALUES {bases}
+), spots AS (SELECT row, w, unnest(generate_series(0, len(w) - 1)) AS pos FROM docs
+), hits AS (
+    SELECT row, w, pos, w[pos + 1] AS word FROM spots
+    WHERE w[pos + 1] IN (SELECT word FROM posts UNION SELECT words[1] FROM must UNION SELECT words[1] FROM base)
+), known AS (SELECT word, count(DISTINCT row) AS df FROM hits GROUP BY word
+), weighed AS (
+    SELECT posts.*, ln(((SELECT count(*) FROM docs) + 1) / (coalesce(df, 0) + 1)::DOUBLE) + 1 AS weight
+    FROM posts LEFT JOIN known USING (word)
+), mass AS (SELECT template, sum(weight) AS mass FROM weighed GROUP BY template
+), votes AS (
+    SELECT DISTINCT row, template, label, length, keys, place, weight, pos - place + slack AS begins
+    FROM hits JOIN weighed USING (word), (VALUES (0), (1), (2)) AS s(slack)
+), agreed AS (
+    SELECT row, template, label, length, keys, begins, least(sum(weight) / any_value(mass), 1.0) AS share
+    FROM votes JOIN mass USING (template) GROUP BY ALL HAVING sum(weight) / any_value(mass) >= 0.75 * (1 - 1e-9)
+), stands AS (
+    SELECT DISTINCT row, template, phrase, pos FROM hits JOIN must ON word = words[1] AND w[pos + 1:pos + len(words)] = words
+), verified AS (
+    SELECT row, template, label, begins, share FROM agreed JOIN stands USING (row, template)
+    WHERE pos BETWEEN begins - 3 AND begins + length + 2
+    GROUP BY row, template, label, begins, share, keys HAVING count(DISTINCT phrase) = keys
+), found AS (SELECT row, list(DISTINCT label) AS more, max(share) AS share FROM verified GROUP BY row
+), based AS (
+    SELECT row, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS own
+    FROM hits JOIN base ON word = words[1] AND w[pos + 1:pos + len(words)] = words GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(own), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ',') AS labels,
+       CASE WHEN own IS NOT NULL THEN 1.0::DOUBLE ELSE round(coalesce(share, 0.0)::DOUBLE, 9) END AS score
+FROM docs LEFT JOIN based USING (row) LEFT JOIN found USING (row)"""
+
+
+@query("op11_license_scan", _license_sql())
 def license_scan_query(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(load(spark, folder, "documents"))
