@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read
 again as the next one's ``docs``.  All but the last return the columns of documents.
+
+Defined results: NULL and empty texts fail the plain rules and go in the first stage; a NULL language or source is a
+group of its own; repeated rows are judged alike by the first two stages and leave one row in the third; in the third
+ties go by id (NULL last), then by hashes of text and row; extra columns, whatever their names, stay as they are until
+the last stage.  Texts are read whole, however long.  No rows give an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group that 0.75 similar 5-word shingles link."""
+    """One row, that with the smallest id, of each group that 0.75 similar 5-word shingles link; rows without words stay."""
     return ngram_join.drop_near_copies(docs, percent=75, width=5)
 
 
