@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import WordScan, bounded_batches, chunks, joined, shape, store, text_bytes, windows
+from millrace.llm.common import WordScan, bounded_batches, chunks, joined, release, shape, store, text_bytes, windows
 
 #: Counts of a text, in order.
 COUNTS = [
@@ -134,6 +134,7 @@ def measure(docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), *[pa.array(np.ascontiguousarray(table[:, k])) for k in range(len(COUNTS))]],
                 names=["row", *COUNTS])
+            release()
 
     return rows.mapInArrow(task, shape({"row": rows.schema["row"].dataType} | dict.fromkeys(COUNTS, "long")))
 

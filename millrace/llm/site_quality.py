@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounded_batches, chunks, joined, mix, shape, store, text_bytes
+from millrace.llm.common import bounded_batches, chunks, joined, mix, release, shape, store, text_bytes
 from millrace.llm.outliers import COUNTS, Counter
 
 HEADS = ("low", "toxic")
@@ -188,6 +188,7 @@ def fit_model(
                     pa.array(name.view(np.int64)), pa.array(np.bincount(same, minlength=len(name))),
                     *[pa.array(np.bincount(same, flags[:, h], len(name)).astype(np.int64)) for h in range(len(HEADS))],
                 ], names=["feature", "n", *HEADS])
+            release()
 
     totals = chosen.agg(F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(h) for h in HEADS]).first()
     if not totals["n"]:
@@ -241,6 +242,7 @@ def score(docs: DataFrame, model: Model | None, keep: Sequence[str], text: str =
             else:
                 p = np.concatenate([np.zeros(0), *[model.unwanted(x) for x in chunks(batch.column(0).to_pylist())]])
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p)], names=["row", "p"])
+            release()
 
     return rows.mapInArrow(task, shape({"row": rows.schema["row"].dataType, "p": "double"}))
 
