@@ -1,9 +1,10 @@
 """Quality rules: robust multivariate outliers among documents of one language and source.
 
 Each text becomes a vector of transformed statistics.  Per language and source the minimum
-covariance determinant (MCD) estimate of centre and scatter is found by concentration steps:
-keep the share ``core`` of the rows nearest to the current estimate, estimate anew from them.  A
-document whose Mahalanobis distance from its group's estimate is beyond a chi-square quantile is an
+covariance determinant (MCD) estimate of centre and scatter is searched for from several starts by concentration
+steps: keep the share ``core`` of the rows nearest to the current estimate, estimate anew from them, until the
+determinant stops falling; the start that ends with the least determinant wins.  All rows near its estimate then give
+the final one (re-weighting).  A document whose Mahalanobis distance from that is beyond a chi-square quantile is an
 outlier.
 
 Steps are grouped aggregations over a narrow stored table: a histogram of distances gives the
@@ -197,81 +198,164 @@ def assign_groups(rows: DataFrame, least: int) -> DataFrame:
         F.struct("lang", "source").alias("key"), F.to_json(group, {"ignoreNullFields": "false"}).alias("g"))
 
 
-def fit(rows: DataFrame, core: float = 0.75, steps: int = 4, least: int = 50) -> DataFrame:
-    """Estimates for every (lang, source): columns key, center, inverse.
-
-    ``rows``: lang, source (strings, NULL is a value) and x0.. of the documents to learn from.
-    ``inverse`` is scaled so that the median squared distance is that of a chi-square.
-    """
+def _medians(data: DataFrame) -> DataFrame:
+    """Per group ``center`` and ``v``: medians and squared quartile deviations, from histograms of 1/20 of each floor."""
     p = len(FEATURES)
-    floors = np.array([f for _, _, f in FEATURES])
-    groups = store(assign_groups(rows, least), "groups")
-    names = [f"x{k}" for k in range(p)]
-    data = store(
-        rows.select(F.struct("lang", "source").alias("key"), *names).join(groups, "key").select("g", *names), "vectors")
-
-    # Start: medians, and quartile distances as deviations, from histograms of 1/20 of each floor.
+    floors = [f for _, _, f in FEATURES]
     cells = data.select("g", F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.floor(F.col(f"x{k}") / F.lit(float(floors[k] / 20))).cast("long").alias("bin"))
         for k in range(p)])).alias("c")).groupBy("g", "c.k", "c.bin").agg(F.count(F.lit(1)).alias("n"))
     quartiles = _quantile_bins(cells, ["g", "k"], "bin", [0.25, 0.5, 0.75])
     step = F.element_at(F.array(*[F.lit(float(f / 20)) for f in floors]), F.col("k") + 1)
+    floor = F.element_at(F.array(*[F.lit(float(f)) for f in floors]), F.col("k") + 1)
     sigma = (F.col("q2") - F.col("q0")) * step / 1.349
-    wide = quartiles.select("g", "k", ((F.col("q1") + 0.5) * step).alias("m"), (sigma * sigma).alias("v"))
-    listed = F.array_sort(F.collect_list(F.struct("k", "m", "v")))
-    start = wide.groupBy("g").agg(listed.alias("l")).select(
-        "g", F.col("l.m").alias("center"),
-        F.array(*[
-            (1 / (F.col("l")[i]["v"] + float(floors[i] ** 2))) if i == j else F.lit(0.0)
-            for i in range(p) for j in range(p)]).alias("inverse"))
-    state = store(start, "mcd")
-
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-
-    def invert(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    wide = quartiles.select(
+        "g", "k", ((F.col("q1") + 0.5) * step).alias("m"), (sigma * sigma + floor * floor).alias("v"))
+    listed = F.array_sort(F.collect_list(F.struct("k", "m", "v")))  # a row per feature
+    return store(wide.groupBy("g").agg(listed.alias("l")).select(
+        "g", F.col("l.m").alias("center"), F.col("l.v").alias("v")), "medians")
+
+
+STATE = "g string, start int, center array<double>, inverse array<double>, logdet double, done boolean"
+
+
+def _starts(data: DataFrame) -> DataFrame:
+    """Three starts a group: medians with quartile deviations alone, and with the correlations of the standardised
+    vectors' hyperbolic tangents, and of their directions."""
+    p = len(FEATURES)
+    medians = _medians(data)
+    z = [(F.col(f"x{k}") - F.col("center")[k]) / F.sqrt(F.col("v")[k]) for k in range(p)]
+    scaled = data.join(medians, "g").select("g", *[c.alias(f"z{k}") for k, c in enumerate(z)])
+    length = F.sqrt(sum((F.col(f"z{k}") * F.col(f"z{k}") for k in range(p)), F.lit(0.0)))
+    bent = scaled.select("g", *[F.tanh(f"z{k}").alias(f"h{k}") for k in range(p)],
+                         *[F.when(length > 0, F.col(f"z{k}") / length).otherwise(0.0).alias(f"u{k}") for k in range(p)])
+    sums = bent.groupBy("g").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"h{k}").alias(f"h{k}") for k in range(p)],
+        *[F.sum(F.col(f"{c}{i}") * F.col(f"{c}{j}")).alias(f"{c}{i}_{j}") for c in "hu" for i, j in PAIRS])
+
+    def shapes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            centers, inverses = [], []
-            for row in frame.itertuples(index=False):
-                n = row.n
-                mean = np.array([getattr(row, f"s{i}") for i in range(p)]) / n
-                scatter = np.zeros((p, p))
-                for i, j in pairs:
-                    scatter[i, j] = scatter[j, i] = getattr(row, f"c{i}_{j}") / n
-                inverse = np.linalg.inv(scatter + np.diag(floors**2))
-                centers.append((np.array([getattr(row, f"m{i}") for i in range(p)]) + mean).tolist())
-                inverses.append(inverse.ravel().tolist())
-            yield pd.DataFrame({"g": list(frame["g"]), "center": centers, "inverse": inverses})
-
-    for _ in range(steps):
-        # Sums per bin of distance: one pass over the rows, and the cut is taken on the bins.  The sums are of
-        # differences from the current centre, which is close: no loss of digits.
-        diff = [F.col(f"x{i}") - F.col("center")[i] for i in range(p)]
-        binned = data.join(state, "g").withColumn("bin", _bin(_distance())).groupBy("g", "bin").agg(
-            F.count(F.lit(1)).alias("n"), *[F.first("center")[i].alias(f"m{i}") for i in range(p)],
-            *[F.sum(diff[i]).alias(f"s{i}") for i in range(p)],
-            *[F.sum(diff[i] * diff[j]).alias(f"t{i}_{j}") for i, j in pairs])
-        nearer = W.partitionBy("g").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-        near = binned.withColumns({
-            "nearer": F.coalesce(F.sum("n").over(nearer), F.lit(0)), "rows": F.sum("n").over(W.partitionBy("g")),
-        }).where(F.col("nearer") < core * F.col("rows"))
-        sums = near.groupBy("g").agg(
-            F.sum("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
-            *[F.sum(f"s{i}").alias(f"s{i}") for i in range(p)],
-            *[F.sum(f"t{i}_{j}").alias(f"t{i}_{j}") for i, j in pairs])
-        centred = sums.select("g", F.col("n").cast("double").alias("n"), *[f"m{i}" for i in range(p)],
-                              *[f"s{i}" for i in range(p)],
-                              *[(F.col(f"t{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n")).alias(f"c{i}_{j}")
-                                for i, j in pairs])
-        state = store(centred.mapInPandas(invert, "g string, center array<double>, inverse array<double>"), "mcd")
-
-    placed = data.join(state, "g").withColumn("bin", _bin(_distance()))
-    counted = placed.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"))
-    middle = _quantile_bins(counted, ["g"], "bin", [0.5]).join(
-        counted.groupBy("g").agg(F.sum("n").alias("rows")), "g")
-    # At least one: variance floors make distances of very even groups smaller, never larger.
-    scale = F.greatest(F.expm1((F.col("q0") + 0.5) / 64) / chi_square(0.5, p), F.lit(1.0))
-    final = state.join(middle, "g").where(F.col("rows") >= least).select(
-        "g", "center", F.transform("inverse", lambda v: v / scale).alias("inverse"))
+            out = []
+            for row in frame.to_dict("records"):
+                deviation = np.sqrt(np.array(row["v"]))
+                mean = np.array([row[f"h{k}"] for k in range(p)]) / row["n"]
+                moments = [np.eye(p), symmetric(row, "h") / row["n"] - np.outer(mean, mean), symmetric(row, "u") / row["n"]]
+                for k, moment in enumerate(moments):
+                    root = np.sqrt(np.maximum(np.diag(moment), 1e-6))
+                    # A tenth of independence keeps the matrix well away from singular ones.
+                    shape_ = 0.9 * moment / np.outer(root, root) + 0.1 * np.eye(p)
+                    scatter = shape_ * np.outer(deviation, deviation)
+                    out.append((row["g"], k, list(row["center"]), np.linalg.inv(scatter).ravel().tolist(), np.inf, False))
+            yield pd.DataFrame(out, columns=["g", "start", "center", "inverse", "logdet", "done"])
+
+    return store(medians.join(sums, "g").mapInPandas(shapes, STATE), "mcd")
+
+
+PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
+
+
+def symmetric(row: dict, name: str) -> np.ndarray:
+    out = np.zeros((len(FEATURES),) * 2)
+    for i, j in PAIRS:
+        out[i, j] = out[j, i] = row[f"{name}{i}_{j}"]
+    return out
+
+
+def _moments() -> list[Column]:
+    """Sums of differences from the current centre, which is close: no loss of digits."""
+    p = len(FEATURES)
+    diff = [F.col(f"x{i}") - F.col("center")[i] for i in range(p)]
+    return [F.count(F.lit(1)).alias("n"), F.first("center").alias("center"), *[F.sum(diff[i]).alias(f"s{i}") for i in range(p)],
+            *[F.sum(diff[i] * diff[j]).alias(f"t{i}_{j}") for i, j in PAIRS]]
+
+
+def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Centre, inverse scatter and log determinant from sums; scatters have the floors' squares added."""
+    floors = np.array([f for _, _, f in FEATURES])
+    for frame in frames:
+        out = []
+        for row in frame.to_dict("records"):
+            mean = np.array([row[f"s{k}"] for k in range(len(floors))]) / row["n"]
+            scatter = symmetric(row, "t") / row["n"] - np.outer(mean, mean) + np.diag(floors**2)
+            out.append((row["g"], row["start"], (np.array(row["center"]) + mean).tolist(),
+                        np.linalg.inv(scatter).ravel().tolist(), float(np.linalg.slogdet(scatter)[1]), False))
+        yield pd.DataFrame(out, columns=["g", "start", "center", "inverse", "logdet", "done"])
+
+
+def _concentrate(data: DataFrame, state: DataFrame, core: float, tolerance: float) -> DataFrame:
+    """One step of all estimates that are not done: anew from the ``core`` nearest rows, or done if the determinant
+    doesn't fall.
+
+    Sums are taken per bin of distance in one pass, and the cut on the bins: of the bin it falls into, all
+    rows count with the weight that makes the core's size exact.
+    """
+    p = len(FEATURES)
+    active = state.where(~F.col("done"))
+    binned = data.join(active.select("g", "start", "center", "inverse"), "g").withColumn("bin", _bin(_distance()))
+    counted = binned.groupBy("g", "start", "bin").agg(*_moments())
+    one = W.partitionBy("g", "start")
+    nearer = F.coalesce(F.sum("n").over(one.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    share = (core * F.sum("n").over(one) - nearer) / F.col("n")
+    near = counted.withColumn("share", F.least(share, F.lit(1.0))).where("share > 0")
+    names = ["n", *[f"s{i}" for i in range(p)], *[f"t{i}_{j}" for i, j in PAIRS]]
+    sums = near.groupBy("g", "start").agg(
+        F.first("center").alias("center"), *[F.sum(F.col("share") * F.col(c)).alias(c) for c in names])
+    found = sums.mapInPandas(_estimate, STATE).select("g", "start", F.struct("center", "inverse", "logdet").alias("next"))
+    better = F.col("next.logdet") < F.col("logdet") - tolerance
+    moved = active.join(found, ["g", "start"]).select("g", "start", *[
+        F.when(better, F.col("next")[c]).otherwise(F.col(c)).alias(c) for c in ("center", "inverse", "logdet")],
+        (~better).alias("done"))
+    return store(moved.unionByName(state.where("done")), "mcd")
+
+
+def minimum_determinant(
+    data: DataFrame, core: float = 0.75, first: int = 2, most: int = 100, tolerance: float = 1e-3,
+) -> DataFrame:
+    """Per group g of ``data`` (g, x0..) the estimate with the least determinant: g, center, inverse, logdet.
+
+    All starts take ``first`` concentration steps, the two with the least determinants of each group
+    go on until theirs stops falling by ``tolerance`` (of its logarithm), and the lesser stays.  The determinant falls
+    with every step, so this ends; an error after ``most`` steps.
+    """
+    rank = F.row_number().over(W.partitionBy("g").orderBy("logdet", "start"))  # three rows a group
+    state = _starts(data)
+    for step in range(most):
+        if step == first:
+            state = store(state.withColumn("rank", rank).where("rank <= 2").drop("rank"), "mcd")
+        if step >= first and state.where(~F.col("done")).isEmpty():
+            return store(state.withColumn("rank", rank).where("rank = 1").select("g", "center", "inverse", "logdet"), "mcd")
+        state = _concentrate(data, state, core, tolerance)
+    raise RuntimeError(f"The determinants still fall after {most} steps.")
+
+
+def _scaled(data: DataFrame, state: DataFrame) -> DataFrame:
+    """Inverses scaled so that the median squared distance is that of a chi-square; adds ``rows``.
+
+    Never enlarged: floors of variances make the distances of very even groups smaller.
+    """
+    counted = data.join(state, "g").withColumn("bin", _bin(_distance())).groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"))
+    middle = _quantile_bins(counted, ["g"], "bin", [0.5]).join(counted.groupBy("g").agg(F.sum("n").alias("rows")), "g")
+    scale = F.greatest(F.expm1((F.col("q0") + 0.5) / 64) / chi_square(0.5, len(FEATURES)), F.lit(1.0))
+    return store(state.join(middle, "g").select(
+        "g", "center", F.transform("inverse", lambda v: v / scale).alias("inverse"), "rows"), "mcd")
+
+
+def fit(rows: DataFrame, core: float = 0.75, least: int = 50) -> DataFrame:
+    """Estimates for every (lang, source): columns key, center, inverse.
+
+    ``rows``: lang, source (strings, NULL is a value) and x0.. of the documents to learn from.
+    The estimate of least determinant is made consistent by its median distance; all rows within its 97.5%
+    quantile then give the final one, scaled in the same way.
+    """
+    names = [f"x{k}" for k in range(len(FEATURES))]
+    groups = store(assign_groups(rows, least), "groups")
+    data = store(
+        rows.select(F.struct("lang", "source").alias("key"), *names).join(groups, "key").select("g", *names), "vectors")
+    raw = _scaled(data, minimum_determinant(data, core)).drop("rows")
+    within = data.join(raw, "g").where(_distance() <= chi_square(0.975, len(FEATURES)))
+    sums = within.groupBy("g").agg(*_moments()).withColumn("start", F.lit(0))
+    weighed = store(sums.mapInPandas(_estimate, STATE).select("g", "center", "inverse"), "mcd")
+    final = _scaled(data, weighed).where(F.col("rows") >= least)
     return store(groups.join(final, "g").select("key", "center", "inverse"), "estimates")
 
 

@@ -91,6 +91,66 @@ def test_concentration_steps_ignore_outliers(spark):
     assert d2_far.min() > 20 * np.median(d2) and (np.linalg.eigvalsh(np.linalg.inv(inverse)) > 0.5 * floors.min() ** 2).all()
 
 
+def brute_force_mcd(x, core, rng, starts=60):
+    """Concentration steps on exact subsets from random small subsets; floors' squares on the scatter, as stated."""
+    floors = np.array([f for _, _, f in outliers.FEATURES])
+    h = int(core * len(x))
+    best = (np.inf, None, None)
+    for _ in range(starts):
+        subset = rng.choice(len(x), x.shape[1] + 1, replace=False)
+        last = np.inf
+        while True:
+            center, scatter = x[subset].mean(0), np.cov(x[subset].T, bias=True) + np.diag(floors**2)
+            logdet = np.linalg.slogdet(scatter)[1]
+            if len(subset) == h and logdet > last - 1e-9:
+                break
+            last = logdet if len(subset) == h else np.inf
+            d2 = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(scatter), x - center)
+            subset = np.argsort(d2, kind="stable")[:h]
+        if logdet < best[0]:
+            best = (logdet, center, scatter)
+    return best
+
+
+def finished(x, center, scatter):
+    """The re-weighted estimate: consistent by the median, rows within 97.5%, consistent again."""
+    p, floors = x.shape[1], np.array([f for _, _, f in outliers.FEATURES])
+
+    def squares(center, scatter):
+        d2 = np.einsum("ij,jk,ik->i", x - center, np.linalg.inv(scatter), x - center)
+        return d2 / max(np.median(d2) / outliers.chi_square(0.5, p), 1)
+
+    near = x[squares(center, scatter) <= outliers.chi_square(0.975, p)]
+    center, scatter = near.mean(0), np.cov(near.T, bias=True) + np.diag(floors**2)
+    return center, squares(center, scatter)
+
+
+def test_least_determinant_beside_numpy(spark):
+    """Correlated groups with a quarter of the rows in one far lump, or spread along one axis."""
+    rng = np.random.default_rng(17)
+    p = len(outliers.FEATURES)
+    root = rng.normal(size=(p, p)) * 0.4
+    clean = {g: rng.normal(size=(700, p)) @ root for g in "abc"}
+    groups = {"a": clean["a"], "b": np.concatenate([clean["b"], rng.normal(size=(200, p)) * 0.05 + 6 * root[0]]),
+              "c": np.concatenate([clean["c"], rng.normal(size=(200, 1)) * 9 + np.zeros((1, p))])}
+    rows = [(g, *map(float, v)) for g, x in groups.items() for v in x]
+    names = ", ".join(f"x{k} double" for k in range(p))
+    found = {r["g"]: r for r in outliers.minimum_determinant(spark.createDataFrame(rows, "g string, " + names)).collect()}
+    frame = spark.createDataFrame([("en", g, *v) for g, *v in rows], "lang string, source string, " + names)
+    final = {r["key"]["source"]: r for r in outliers.fit(frame).collect()}
+    for g, x in groups.items():
+        logdet, center, scatter = brute_force_mcd(x, 0.75, rng)
+        assert abs(found[g]["logdet"] - logdet) < 0.05, g
+        sd = np.sqrt(np.diag(scatter))
+        assert (np.abs(np.array(found[g]["center"]) - center) < 0.1 * sd).all(), g
+        center, d2 = finished(x, center, scatter)
+        got, inverse = np.array(final[g]["center"]), np.array(final[g]["inverse"]).reshape(p, p)
+        mine = np.einsum("ij,jk,ik->i", x - got, inverse, x - got)
+        assert (np.abs(got - center) < 0.1 * sd).all(), g
+        limit = outliers.chi_square(0.999, p)
+        assert np.mean((mine > limit) != (d2 > limit)) < 0.01 and np.median(np.abs(mine / d2 - 1)) < 0.08, g
+
+
 def test_junk_goes_and_prose_stays(spark):
     rng = random.Random(6)
     rows = [(k, prose(rng, rng.randint(25, 400)), "en", "hot" if k % 3 else f"s{k % 5}") for k in range(600)]
