@@ -9,8 +9,9 @@ odds of its path, its own share in the path left out.
 
 Site statistics are grouped aggregations over all documents, combined map-side: a host that holds
 a third of all documents is one row per task.  The classifier is fitted on a bounded sample of the
-labelled documents (``max_labelled``) and has a bounded number of word features (``max_features``);
-both bounds are what makes its data small enough to send to every task.
+labelled documents (``max_labelled``), which also bounds its word features: each occurs in several documents
+of that sample.  It is cross-fitted: the words of each fold of the sample are weighed in the other folds, so
+the regression learns how far a word's weight holds for documents that had no part in it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from millrace.llm.outliers import COUNTS, Counter
 HEADS = ("low", "toxic")
 #: Lengths of beginnings of words, in bytes, that are features beside whole words (0).
 BEGINNINGS = (4, 5, 6, 7, 8)
+#: Folds of the labelled sample.
+FOLDS = 5
 
 
 def _salt(n: int) -> np.uint64:
@@ -107,12 +110,12 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"evidence": None}
 
-    def inputs(self, texts: list[bytes]) -> np.ndarray:
-        """Per text and head its row of inputs: shape, then the lexicon's sums."""
+    def inputs(self, texts: list[bytes], lexicons: Sequence[Lexicon] | None = None) -> np.ndarray:
+        """Per text and head its row of inputs: shape, then the sums of the lexicon (the model's own if not given)."""
         self.evidence = self.evidence or Evidence()
         counts = dense(self.evidence.counts(texts))
         hashes, owner = self.evidence.words(texts)
-        return np.stack([np.concatenate([counts, x.sums(hashes, owner, len(texts))], 1) for x in self.lexicons], 1)
+        return np.stack([np.concatenate([counts, x.sums(hashes, owner, len(texts))], 1) for x in lexicons or self.lexicons], 1)
 
     def fit(self, inputs: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> None:
         """inputs: rows x heads x features; labels: rows x heads of 0 and 1."""
@@ -152,16 +155,14 @@ def newton_logistic(x: np.ndarray, y: np.ndarray, ridge: float, rounds: int = 40
 
 def fit_model(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality",
-    toxic: str = "toxic", max_labelled: int = 20_000, max_features: int = 20_000, least: int = 8,
-    least_weight: float = 4.0,
+    toxic: str = "toxic", max_labelled: int = 20_000, least: int = 4, least_weight: float = 4.0,
 ) -> Model | None:
     """Both heads from at most ``max_labelled`` labelled documents, chosen by a hash of their id.
 
     A document is of low quality if its labels' mean ``quality`` is under one half, toxic if their mean
-    ``toxic`` is one half or more.  NULL ids and labels are left out.  Word features: those in ``least``
-    documents of a head or more, exp(``least_weight``) times as often as in the others; the
-    ``max_features`` that tell most.
-    None without a labelled document.
+    ``toxic`` is one half or more.  NULL ids and labels are left out.  Word features: all in ``least``
+    documents of a head or more (fewer, in proportion, for all folds but one), exp(``least_weight``) times as often as in
+    the others.  None without a labelled document.
     """
     ids = (
         labels.where(F.col(id).isNotNull()).groupBy(F.col(id).alias("id"))
@@ -171,54 +172,67 @@ def fit_model(
     )
     rows = bounded_batches(docs).select(F.col(id).alias("id"), text_bytes(text).alias("text"))
     # max_labelled rows of an id and two flags: under a megabyte at the default.
-    chosen = store(rows.join(F.broadcast(ids), "id").select("text", *[F.col(h).cast("int").alias(h) for h in HEADS]), "labelled")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int").alias("fold")
+    chosen = store(rows.join(F.broadcast(ids), "id").select(
+        "text", fold, *[F.col(h).cast("int").alias(h) for h in HEADS]), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence()
         for batch in batches:
             heads = np.stack([batch.column(h).to_numpy() for h in HEADS], 1)
+            folds = batch.column("fold").to_numpy()
             done = 0
             for part in chunks(batch.column("text").to_pylist()):
                 hashes, owner = evidence.words(part)
                 key, of = np.unique(np.stack([hashes, owner.astype(np.uint64)]), axis=1)
                 name, same = np.unique(key, return_inverse=True)
-                flags = heads[done : done + len(part)][of.astype(np.int64)]
+                of = done + of.astype(np.int64)
                 done += len(part)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(name.view(np.int64)), pa.array(np.bincount(same, minlength=len(name))),
-                    *[pa.array(np.bincount(same, flags[:, h], len(name)).astype(np.int64)) for h in range(len(HEADS))],
-                ], names=["feature", "n", *HEADS])
+                columns = []
+                for k in range(FOLDS):
+                    inside = folds[of] == k
+                    for flags in (np.ones(len(of)), *heads[of].T):
+                        columns.append(np.bincount(same, inside * flags, len(name)).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name.view(np.int64)), *map(pa.array, columns)], names=["feature", *tallies])
             release()
 
-    totals = chosen.agg(F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(h) for h in HEADS]).first()
-    if not totals["n"]:
+    tallies = [f"{c}{k}" for k in range(FOLDS) for c in ("n", *HEADS)]
+    totals = {r["fold"]: r for r in chosen.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(h) for h in HEADS]).collect()}  # FOLDS rows at most
+    if not totals:
         return None
+    fewer = max(least * (FOLDS - 1) // FOLDS, 1)
     counted = store(
-        chosen.mapInArrow(count, "feature long, n long, low long, toxic long")
-        .groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", *HEADS)]).where(F.col("n") >= least), "features")
-    lexicons = []
-    for head in HEADS:
-        yes, no = totals[head] or 0, totals["n"] - (totals[head] or 0)
-        weight = F.log((F.col(head) + 0.5) / (yes + 1.0)) - F.log((F.col("n") - F.col(head) + 0.5) / (no + 1.0))
-        # Likelihood ratio of "occurs at different rates" to "at the same".
-        rest = F.col("n") - F.col(head)
-        gain = F.col(head) * F.log(F.col(head) * totals["n"] / (F.col("n") * max(yes, 1)))
-        gain = gain + F.when(rest > 0, rest * F.log(rest * totals["n"] / (F.col("n") * max(no, 1)))).otherwise(0.0)
-        found = (
-            counted.where(F.col(head) >= least)
-            .select("feature", weight.alias("weight"), gain.alias("gain"))
-            .where(F.col("weight") > least_weight).orderBy(F.desc("gain"), "feature").limit(max_features).toArrow()
-        )
-        lexicons.append(Lexicon(found.column("feature").to_numpy().view(np.uint64), found.column("weight").to_numpy()))
-
+        chosen.mapInArrow(count, ", ".join(["feature long", *[f"{c} long" for c in tallies]]))
+        .groupBy("feature").agg(*[F.sum(c).alias(c) for c in tallies]).where(" + ".join(f"n{k}" for k in range(FOLDS)) + f" >= {fewer}"),
+        "features")
+
+    def lexicon(head: str, folds: Sequence[int], least: int) -> Lexicon:
+        """Words that speak for a head in these folds of the sample."""
+        yes = sum(totals[k][head] for k in folds if k in totals)
+        no = sum(totals[k]["n"] for k in folds if k in totals) - yes
+        with_, all_ = (sum((F.col(f"{c}{k}") for k in folds), F.lit(0)) for c in (head, "n"))
+        weight = F.log((with_ + 0.5) / (yes + 1.0)) - F.log((all_ - with_ + 0.5) / (no + 1.0))
+        found = counted.where(with_ >= least).select("feature", weight.alias("weight")).where(
+            F.col("weight") > least_weight).toArrow()
+        return Lexicon(found.column("feature").to_numpy().view(np.uint64), found.column("weight").to_numpy())
+
+    lexicons = [lexicon(head, range(FOLDS), least) for head in HEADS]
+    # A fold's documents are looked up in what the others taught.
+    crossed = [[lexicon(head, [j for j in range(FOLDS) if j != k], fewer) for head in HEADS] for k in range(FOLDS)]
     model = Model(lexicons)
     width = len(dense(np.zeros((1, len(COUNTS)), np.int64))[0]) + 2
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.zeros((0, len(HEADS), width))]
-            found += [model.inputs(part) for part in chunks(batch.column("text").to_pylist())]
-            flat = np.concatenate(found).reshape(batch.num_rows, -1)
+            texts, folds = batch.column("text").to_pylist(), batch.column("fold").to_numpy()
+            found = np.zeros((len(texts), len(HEADS), width))
+            for k in range(FOLDS):
+                at = np.flatnonzero(folds == k)
+                parts = [model.inputs(part, crossed[k]) for part in chunks([texts[i] for i in at])]
+                found[at] = np.concatenate([found[:0], *parts])
+            flat = found.reshape(batch.num_rows, -1)
             yield pa.RecordBatch.from_arrays([
                 pa.array(list(flat), pa.list_(pa.float64())), *[batch.column(h) for h in HEADS]], names=["x", *HEADS])
 

@@ -37,6 +37,51 @@ def test_query_over_the_table(spark, data):
     assert all(0 <= r["evidence"] <= 1 and 0 < r["posterior"] < 1 and r["kept"] == (r["posterior"] < 0.5) for r in rows)
 
 
+def pull(rates, prior):
+    """Strength of a level: rates are (n, s), priors one for each."""
+    n, s = (np.array(x, float) for x in zip(*rates))
+    prior = np.array(prior, float)
+    between = ((n * (s / n - prior) ** 2).sum() - (prior * (1 - prior)).sum()) / n.sum()
+    level = (n * prior * (1 - prior)).sum() / n.sum()
+    return min(max(level / max(between, 1e-12) - 1, 1), 1e4) if between > 0 else 1e4
+
+
+def test_posteriors_beside_a_loop(spark, data):
+    """Every document's site prior, posterior and verdict from all evidence, by dictionaries."""
+    docs = {r["doc_id"]: (r["source"], r["lang"]) for r in load(spark, data, "documents").select(
+        "doc_id", "source", "lang").collect()}
+    got = {r["doc_id"]: r for r in site_quality.classify(
+        load(spark, data, "documents"), load(spark, data, "labels")).collect()}
+    p = {i: round(r["evidence"] * 1e6) / 1e6 for i, r in got.items()}
+    paths, hosts = {}, {}
+    for i, site in docs.items():
+        for level, key in ((paths, site), (hosts, site[0])):
+            n, s = level.get(key, (0, 0.0))
+            level[key] = (n + 1, s + p[i])
+    rate = (sum(p.values()) + 0.5) / (len(p) + 1)
+    k = pull(hosts.values(), [rate] * len(hosts))
+    host_rate = {h: (k * rate + s) / (k + n) for h, (n, s) in hosts.items()}
+    k = pull(paths.values(), [host_rate[h] for h, _ in paths])
+    for i, site in docs.items():
+        n, s = paths[site]
+        prior = min(max((k * host_rate[site[0]] + max(s - p[i], 0)) / (k + n - 1), 1e-6), 1 - 1e-6)
+        e = min(max(got[i]["evidence"], 1e-9), 1 - 1e-9)
+        odds = e / (1 - e) * (1 - rate) / rate * prior / (1 - prior)
+        assert got[i]["site_prior"] == pytest.approx(prior, rel=1e-5)
+        assert got[i]["posterior"] == pytest.approx(odds / (1 + odds), rel=1e-4)
+        assert got[i]["kept"] == (got[i]["posterior"] < 0.5)
+
+
+def test_words_are_weighed_in_other_folds(spark):
+    """Labels that no word explains: words of one fold tell nothing in the others, so evidence stays near the rate."""
+    rng = random.Random(31)
+    docs = spark.createDataFrame([(k, f"{prose(rng, 40)} tag{k // 24} x", "s", "en") for k in range(1200)],
+                                 "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(k, int(rng.random() < 0.5), 0) for k in range(1200)], LABELS)
+    evidence = [r["evidence"] for r in site_quality.classify(docs, labels, least=4, least_weight=0.1).collect()]
+    assert 0.35 < np.mean(evidence) < 0.65 and np.std(evidence) < 0.25
+
+
 def test_sites_are_pulled_to_the_level_above(spark):
     rows = [("big", "x", 0.9)] * 2000 + [("big", "y", 0.9)] * 2 + [("clean", "x", 0.02)] * 2000 + [("one", "x", 1.0)]
     rows += [(None, None, 0.5)] * 3
