@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (
-    PCA, FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+    PCA, FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.feature import ImputerModel, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -43,21 +45,40 @@ def hash_buckets(df: DataFrame, cat_cols: Sequence[str], low: int = 64, high: in
     return min(high, max(low, 1 << (4 * sum(counts) - 1).bit_length()))
 
 
-def _inputs(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str] = (), hashed: int | None = None) -> list:
-    """Stages from columns to one vector.  Every row gets one: missing numbers become medians, missing
-    categories no bucket.  Categories are hashed, so no list of values is collected; the number of
-    buckets follows the number of values (``hash_buckets``) unless ``hashed`` says otherwise."""
+def _inputs(num_cols: Sequence[str]) -> list:
+    """Stages from columns to one vector.  Every row gets one: missing numbers become medians."""
     stages, parts = _filled(num_cols)
-    if cat_cols:
-        buckets = hashed or hash_buckets(df, cat_cols)
-        stages.append(FeatureHasher(inputCols=list(cat_cols), outputCol="_cats", numFeatures=buckets))
-        parts = [*parts, "_cats"]
     return [*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="keep")]
 
 
 # ---------------------------------------------------------------- classification
 
 
+#: Parts of the training rows that label shares are taken out of.
+PARTS = 5
+
+
+def _label_shares(rows: DataFrame, col: str, shares: Sequence[float], m: float = 20.0) -> tuple[Model, Model]:
+    """Models that add the vector ``_share_<col>``: the share of each label among ``rows`` (``_hash_<col>``, label) with
+    the value of ``col``, shrunk by ``m`` rows towards ``shares``; a missing or unknown value has those.
+
+    Naive Bayes over one bucket per row gives just that share.  One row per label that holds all buckets puts the ``m``
+    rows into each of them.
+    """
+    buckets = rows.schema[f"_hash_{col}"].metadata["ml_attr"]["num_attrs"]
+    every = Vectors.dense(np.ones(buckets))
+    prior = rows.sparkSession.createDataFrame(
+        [(float(k), every, m * p) for k, p in enumerate(shares)], [LABEL, f"_hash_{col}", "_weight"])
+    counted = rows.select(LABEL, f"_hash_{col}", F.lit(1.0).alias("_weight")).unionAll(prior)
+    model = NaiveBayes(
+        labelCol=LABEL, featuresCol=f"_hash_{col}", weightCol="_weight", smoothing=0.0, probabilityCol=f"_shares_{col}",
+        predictionCol="", rawPredictionCol="").fit(counted)
+    # The shares add up to one, so the first one tells nothing more.
+    kept = VectorSlicer(
+        inputCol=f"_shares_{col}", outputCol=f"_share_{col}", indices=list(range(min(1, len(shares) - 1), len(shares))))
+    return model, kept
+
+
 def train_forest(
     df: DataFrame, label: str, num_cols: Sequence[str], cat_cols: Sequence[str] = (),
     trees: int = 100, depth: int = 10, subsample: float = 0.8, min_gain: float = 0.0, seed: int = 42,
@@ -66,16 +87,45 @@ def train_forest(
 
     ``min_gain`` is the least decrease of impurity (between 0 and 0.5 here) of a split; a loss
     threshold of boosted trees is on another scale.
+
+    Trees bin every input and keep a number of each row for it, so a category is not one input per value but the shares
+    of the labels among the rows with its value (``_label_shares``), in the order of which a tree can split the values as
+    it likes.  Training rows get them from the other of five parts, so no row is told its own label; rows to score from
+    all training rows.  Values are hashed to buckets (``hash_buckets``), so no list of them is collected.
     """
-    return Pipeline(stages=[
-        StringIndexer(inputCol=label, outputCol=LABEL, stringOrderType="alphabetAsc", handleInvalid="skip"),
-        *_inputs(df, num_cols, cat_cols),
-        RandomForestClassifier(
-            labelCol=LABEL, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, subsamplingRate=subsample,
-            minInfoGain=min_gain, seed=seed, probabilityCol="_prob", rawPredictionCol="_raw",
-            predictionCol="_pred",
-        ),
-    ]).fit(df)
+    indexer = StringIndexer(inputCol=label, outputCol=LABEL, stringOrderType="alphabetAsc", handleInvalid="skip").fit(df)
+    rows = indexer.transform(df).select(
+        LABEL, *dict.fromkeys([*num_cols, *cat_cols]), (F.rand(seed) * PARTS).cast("int").alias("_part"))
+    # Dealt over all cores: trees go over the rows once per level.  The label's list of values is kept by its metadata,
+    # which a stored table loses.
+    dealt = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    rows = materialize(dealt).withMetadata(LABEL, rows.schema[LABEL].metadata)
+    stages, parts = _filled(num_cols)
+    stages = list(Pipeline(stages=stages).fit(rows).stages)
+    training = PipelineModel(stages).transform(rows)
+    if cat_cols:
+        buckets = hash_buckets(rows, cat_cols)
+        hashers = [
+            FeatureHasher(inputCols=[c], categoricalCols=[c], outputCol=f"_hash_{c}", numFeatures=buckets) for c in cat_cols]
+        hashed = PipelineModel(hashers).transform(training)
+        counts = {r[LABEL]: r["count"] for r in rows.groupBy(LABEL).count().collect()}  # a row per label
+        shares = [counts[float(k)] / sum(counts.values()) for k in range(len(counts))]
+
+        def told(some: DataFrame) -> list:
+            return [stage for c in cat_cols for stage in _label_shares(some, c, shares)]
+
+        training = reduce(DataFrame.unionAll, [
+            PipelineModel(told(hashed.where(F.col("_part") != part))).transform(hashed.where(F.col("_part") == part))
+            for part in range(PARTS)])
+        stages += [*hashers, *told(hashed)]
+        parts = [*parts, *[f"_share_{c}" for c in cat_cols]]
+    stages.append(VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="keep"))
+    trained = RandomForestClassifier(
+        labelCol=LABEL, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, subsamplingRate=subsample,
+        minInfoGain=min_gain, seed=seed, probabilityCol="_prob", rawPredictionCol="_raw",
+        predictionCol="_pred",
+    ).fit(stages[-1].transform(training).select(LABEL, FEATURES))
+    return PipelineModel([indexer, *stages, trained])
 
 
 def class_probs(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -204,7 +254,7 @@ def tune_gbt(
     if encoded:
         parts = _target_encoded(materialize(parts), encoded)
     inputs = [*num_cols, *encoded.values()]
-    prepared = Pipeline(stages=_inputs(parts, inputs)).fit(parts).transform(parts).select(
+    prepared = Pipeline(stages=_inputs(inputs)).fit(parts).transform(parts).select(
         LABEL, FEATURES, "_part").persist()
 
     def run(numbered):

@@ -34,6 +34,31 @@ def test_forest_scores_and_reloads(blobs, tmp_path):
     assert both.where((F.col("p") >= 0.4) != (F.col("business_decision") == "yes")).isEmpty()
 
 
+def test_forest_gives_trees_one_input_per_category(spark):
+    """5,000 values, each with a label of its own: two inputs, and new or missing values are told the labels' shares."""
+    rng = np.random.default_rng(4)
+    side = rng.integers(0, 2, 5000)
+    rows = [(f"v{k % 5000}", 0.0, "yes" if side[k % 5000] else "no") for k in range(40000)]
+    df = spark.createDataFrame(rows, "place string, x double, name string")
+    model = ml.train_forest(df, "name", ["x"], ["place"], trees=5, depth=3)
+    assert model.stages[-1].numFeatures == 2
+    scored = ml.class_probs(model, df)
+    assert scored.where("name = predicted_label").count() > 0.95 * 40000
+    odd = spark.createDataFrame([(None, 0.0), ("never seen", 0.0)], "place string, x double")
+    probs = [r["probs"][1]["prob"] for r in ml.class_probs(model, odd).collect()]
+    assert len(probs) == 2 and probs[0] == probs[1]
+
+
+def test_forest_tells_no_row_its_own_label(spark):
+    """A value of its own for every row and labels by chance: nothing to learn."""
+    rng = np.random.default_rng(6)
+    rows = [(f"v{k}", float(rng.normal()), "yes" if rng.random() < 0.5 else "no") for k in range(4000)]
+    df = spark.createDataFrame(rows, "place string, x double, name string")
+    model = ml.train_forest(df, "name", ["x"], ["place"], trees=5, depth=3)
+    sure = ml.class_probs(model, df).agg(F.avg(F.abs(F.col("probs")[1]["prob"] - 0.5))).first()[0]
+    assert sure < 0.1  # told its own label, it would be near a half
+
+
 def test_rows_with_missing_features_are_kept(spark, blobs):
     holes = blobs.withColumn("x", F.when(F.col("id") % 5 != 0, F.col("x"))).withColumn(
         "place", F.when(F.col("id") % 7 != 0, F.col("place")))
