@@ -15,6 +15,8 @@ from millrace.functions.constants import (
 )
 
 # Field names and types of the landed files.
+#: Rows of a landed file at most: a compressed file is read by one task.
+FILE_ROWS = 1_000_000
 INGEST_FIELDS = "_ingest_time_utc string, _ingest_type string, _entity string"
 MESSAGE_FIELDS = "_pubsub_message_id string, _pubsub_publish_time string"
 ORDER_FIELDS = (
@@ -129,13 +131,15 @@ def enrich(df: DataFrame, entity: str, ingest_ts: datetime) -> DataFrame:
 def snapshot_land(df: DataFrame, entity: str, ingest_ts: datetime, root: str) -> str:
     """Write a full snapshot as NDJSON below ``root/entity/snapshot_dt=…/snapshot_ts=…``.
 
-    Every task writes its own files.  Landing the same snapshot again replaces it.
+    Every task writes its own files, compressed by gzip, since names and repeated values are most of the text; a file
+    ends after ``FILE_ROWS`` rows, as one can't be split by readers.  Landing the same snapshot again replaces it.
     Returns the entity's folder.
     """
     at = ingest_ts.astimezone(timezone.utc)
     folder = f"{root.rstrip('/')}/{entity}"
     leaf = f"{folder}/snapshot_dt={at:%Y-%m-%d}/snapshot_ts={at:%Y%m%dT%H%M%SZ}"
-    enrich(df, entity, ingest_ts).write.mode("overwrite").option("ignoreNullFields", "true").json(leaf)
+    writer = enrich(df, entity, ingest_ts).write.mode("overwrite").option("ignoreNullFields", "true")
+    writer.option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).json(leaf)
     return folder
 
 

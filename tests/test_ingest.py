@@ -88,6 +88,15 @@ def test_landing_again_replaces_the_snapshot(spark, tmp_path):
     assert len(rows) == 2 and rows[0]["status"] == "created" and rows[0]["_entity"] == "orders"
 
 
+def test_landed_files_are_small_and_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lz, "FILE_ROWS", 3000)
+    df = spark.range(7000).coalesce(1).selectExpr("id", "'a name' AS name", "'an@address' AS email", "'PT' AS country")
+    folder = lz.snapshot_land(df, "customers", T0, str(tmp_path))
+    files = list((tmp_path / "customers").rglob("part-*"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 7000 * 20
+    assert lz.lz_read(spark, "customers", folder).where("name = 'a name'").count() == 7000
+
+
 def test_overwrite_partitions_is_idempotent(spark, tmp_path):
     name = table(spark, tmp_path, "customers")
     df = spark.createDataFrame([(1, "n", "e", "PT")], "id long, name string, email string, country string")
