@@ -23,6 +23,8 @@ from millrace.session import materialize
 
 #: Rows for held-out measurement: one in so many, by a hash of the row.
 HELD_OUT = 10
+#: Rows of a task, about.
+TASK_ROWS = 250_000
 
 
 @dataclass
@@ -121,7 +123,7 @@ def train_autoencoder(
     units = [d, *hidden, d]
     x = _standardised(df, cols, means, spreads)
     rows = df.select(x.alias("x")).withColumn("h", F.xxhash64("x"))
-    rows = materialize(rows.repartition(F.col("h")).sortWithinPartitions("h", "x"))
+    rows = materialize(rows.repartition(max(1, -(-row["n"] // TASK_ROWS)), F.col("h")).sortWithinPartitions("h", "x"))
     weights, best = _start(units, seed), (np.inf, None)
     history: list[float] = []
 
@@ -129,12 +131,13 @@ def train_autoencoder(
         shared = spark.sparkContext.broadcast(weights)
 
         def steps(batches: Iterator[pd.DataFrame], number: int = number, shared=shared) -> Iterator[pd.DataFrame]:
-            parts = [p for p in batches if len(p)]
+            # Numbers alone are kept of a batch; its rows as objects take several times the place.
+            parts = [(np.vstack(p["x"].to_numpy()), p["h"].to_numpy() % HELD_OUT == 0) for p in batches if len(p)]
             if not parts:
                 return
             flat = shared.value.copy()
-            x = np.vstack([np.vstack(p["x"].to_numpy()) for p in parts])
-            held = np.concatenate([p["h"].to_numpy() for p in parts]) % HELD_OUT == 0
+            x, held = np.vstack([v for v, _ in parts]), np.concatenate([h for _, h in parts])
+            parts.clear()
             loss = float(np.mean((_forward(_layers(flat, units), x[held], activation)[-1] - x[held]) ** 2, axis=1).sum()) if held.any() else 0.0
             x = x[~held]
             rng = np.random.default_rng([seed, number, TaskContext.get().partitionId()])

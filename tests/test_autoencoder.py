@@ -54,6 +54,15 @@ def test_repeats_and_stops(spark, curve):
     assert len(stuck.history) == 3
 
 
+def test_tasks_grow_in_number_not_in_rows(spark, curve, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ae, "TASK_ROWS", 300)
+    monkeypatch.setattr(ae, "materialize", lambda df: kept.append(df) or df)
+    ae.train_autoencoder(curve, ["a", "c"], hidden=(2,), rounds=1)
+    sizes = [r["count"] for r in kept[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 600
+
+
 def test_odd_rows(spark):
     rows = [(1.0, None, 5), (2.0, 3.0, 5), (None, None, 5), (float(10**9), -1.0, 5)] * 30
     df = spark.createDataFrame(rows, "x double, y double, z int")
