@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from millrace.session import materialize
 from millrace.sources.tables import upsert
 
-#: Rows of a rewritten file, about.
-FILE_ROWS = 4_000_000
+#: Rows of a file, about, and bytes before it is encoded: each file is written by one task.
+FILE_ROWS, FILE_BYTES = 4_000_000, 256 << 20
 
 
 class VersionConflict(RuntimeError):
@@ -104,12 +104,26 @@ def _write(df: DataFrame, path: str, keys: Sequence[str], parts: int) -> DataFra
     return spark.createDataFrame([(f"{folder}/{n}", 0, None, None) for n in names], f"file string, rows long, lo struct<{kinds}>, hi struct<{kinds}>")
 
 
+def _parts(*tables: DataFrame) -> int:
+    """The number of files for the rows of all ``tables``, by rows and by bytes."""
+    rows = size = 0
+    for df in tables:
+        widths = [
+            F.octet_length(F.col(f"`{f.name}`")) if f.dataType.typeName() in ("string", "binary")
+            else F.size(F.col(f"`{f.name}`")) * 8 if f.dataType.typeName() == "array" else F.lit(8)
+            for f in df.schema]
+        width = reduce(lambda a, b: a + b, [F.greatest(F.coalesce(w, F.lit(0)), F.lit(0)).cast("long") for w in widths])
+        found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+        rows, size = rows + found["rows"], size + found["size"]
+    return max(1, -(-rows // FILE_ROWS), -(-size // FILE_BYTES))
+
+
 def create(df: DataFrame, path: str, keys: Sequence[str], parts: int | None = None) -> int:
-    """Version 0 of a table: ``df`` in ``parts`` files (by rows, unless given) of disjoint key ranges."""
+    """Version 0 of a table: ``df`` in ``parts`` files (by rows and bytes, unless given) of disjoint key ranges."""
     spark = df.sparkSession
     if parts is None:
         df = materialize(df)
-        parts = max(1, -(-df.count() // FILE_ROWS))
+        parts = _parts(df)
     name = uuid.uuid4().hex
     _write(df, path, keys, parts).write.parquet(f"{path}/manifests/{name}")
     _commit(spark, path, 0, name)
@@ -157,8 +171,7 @@ def merge(
     rewritten = touched.collect()  # an entry per file to rewrite
     current = read(spark, path, version)
     old = _read_files(spark, path, [r["file"] for r in rewritten]).select(*current.columns) if rewritten else current.limit(0)
-    rows = sum(r["rows"] for r in rewritten) + delta.count()
-    fresh = _write(upsert(old, delta, keys, update, extra, order), path, keys, max(1, -(-rows // FILE_ROWS)))
+    fresh = _write(upsert(old, delta, keys, update, extra, order), path, keys, _parts(old, delta))
     kept = manifest(spark, path, version).join(touched.select("file"), "file", "left_anti")
     name = uuid.uuid4().hex
     kept.unionByName(fresh).where("rows > 0").write.parquet(f"{path}/manifests/{name}")
