@@ -12,7 +12,7 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (
-    PCA, FeatureHasher, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
+    PCA, FeatureHasher, Imputer, OneHotEncoder, QuantileDiscretizer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
 )
 from pyspark.ml.feature import ImputerModel, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
@@ -45,10 +45,16 @@ def hash_buckets(df: DataFrame, cat_cols: Sequence[str], low: int = 64, high: in
     return min(high, max(low, 1 << (4 * sum(counts) - 1).bit_length()))
 
 
-def _inputs(num_cols: Sequence[str]) -> list:
-    """Stages from columns to one vector.  Every row gets one: missing numbers become medians."""
+#: Values of an input that trees tell apart, Spark's own number of bins.
+BINS = 32
+
+
+def _binned(num_cols: Sequence[str]) -> tuple[list, list[str]]:
+    """Stages that put the number of its quantile bin in place of each number (missing: the median's)."""
     stages, parts = _filled(num_cols)
-    return [*stages, VectorAssembler(inputCols=parts, outputCol=FEATURES, handleInvalid="keep")]
+    names = [f"_bin_{c}" for c in num_cols]
+    return [*stages, QuantileDiscretizer(
+        inputCols=parts, outputCols=names, numBucketsArray=[BINS] * len(parts), handleInvalid="keep")], names
 
 
 # ---------------------------------------------------------------- classification
@@ -245,6 +251,10 @@ def tune_gbt(
 
     Boosted trees look at every input at every node, so a category is one number, exact for each of its values:
     its target mean out of fold (``_target_encoded``).
+
+    A tree sees no more of a number than its bin, so inputs are binned once for all trials, and training rows with the same
+    bins and label are one row of their weight: as many as there are such cells, however many rows there are.  A subsample
+    takes cells; ``minInstancesPerNode`` counts rows, as a share of the weight.  The models take the vectors of bins.
     """
     space = space or {"stepSize": (0.01, 0.3), "maxDepth": [4, 6, 8, 10], "subsamplingRate": (0.6, 1.0)}
     settings = random_trials(space, n_trials, seed)
@@ -254,15 +264,25 @@ def tune_gbt(
     if encoded:
         parts = _target_encoded(materialize(parts), encoded)
     inputs = [*num_cols, *encoded.values()]
-    prepared = Pipeline(stages=_inputs(inputs)).fit(parts).transform(parts).select(
-        LABEL, FEATURES, "_part").persist()
+    parts = materialize(parts)
+    stages, bins = _binned(inputs)
+    # Added to, bins lose the mark of a category: they stay ordered.
+    binned = Pipeline(stages=stages).fit(parts).transform(parts).withColumns({b: F.col(b) + F.lit(0.0) for b in bins})
+    vector = VectorAssembler(inputCols=bins, outputCol=FEATURES, handleInvalid="keep")
+    cells = vector.transform(binned.where(F.col("_part") != 0).groupBy(LABEL, *bins).agg(
+        F.count(F.lit(1)).cast("double").alias("_weight"))).select(LABEL, FEATURES, "_weight").persist()
+    held = vector.transform(binned.where(F.col("_part") == 0)).select(LABEL, FEATURES).persist()
+    total = cells.agg(F.sum("_weight").alias("n")).first()["n"] or 1.0
 
     def run(numbered):
         number, params = numbered
+        given = {k: v for k, v in params.items() if k != "minInstancesPerNode"}
+        least = min(0.499, params.get("minInstancesPerNode", 1) / total)
         model = GBTClassifier(
-            labelCol=LABEL, featuresCol=FEATURES, maxIter=rounds, seed=seed, **params
-        ).fit(prepared.where(F.col("_part") != 0))
-        scored = model.transform(prepared.where(F.col("_part") == 0)).withColumn(
+            labelCol=LABEL, featuresCol=FEATURES, weightCol="_weight", maxIter=rounds, maxBins=BINS, seed=seed,
+            minWeightFractionPerNode=least, **given
+        ).fit(cells)
+        scored = model.transform(held).withColumn(
             "_p", vector_to_array("probability")[1]
         )
         metrics = eval_metrics(scored, LABEL, "_p").first().asDict()
@@ -272,7 +292,8 @@ def tune_gbt(
         with ThreadPool(parallelism) as pool:
             done = pool.map(run, list(enumerate(settings, 1)), chunksize=1)
     finally:
-        prepared.unpersist()
+        cells.unpersist()
+        held.unpersist()
     rows = [r for _, r in done]
     fields = ", ".join(
         f"{c} {'int' if c == 'trial_id' else 'double'}" for c in rows[0]

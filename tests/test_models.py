@@ -137,6 +137,17 @@ def test_boosted_trees_tell_many_categories_apart(spark):
     assert trials.first()["roc_auc"] > 0.95
 
 
+def test_boosted_trees_train_on_cells(spark, monkeypatch):
+    """Training rows that trees can't tell apart come as one, with their number as its weight."""
+    seen = []
+    fit = ml.GBTClassifier.fit
+    monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, df: seen.append(df.collect()) or fit(self, df))
+    df = spark.range(20000).selectExpr("id", "double(id % 50) AS x", "int(id % 50 >= 25) AS y")
+    trials = ml.tune_gbt(df, "y", ["x"], n_trials=1, split_key="id", rounds=2)[1]
+    assert len(seen[0]) <= 2 * ml.BINS and 15000 < sum(r["_weight"] for r in seen[0]) < 17000
+    assert trials.first()["roc_auc"] > 0.99
+
+
 def test_target_encoding_sees_no_label_of_its_own_part(spark):
     rng = np.random.default_rng(5)
     rows = [(int(k), None if k % 11 == 0 else f"c{int(rng.integers(0, 6))}", int(rng.integers(0, 5)), float(rng.integers(0, 2)))
