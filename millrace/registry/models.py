@@ -13,7 +13,7 @@ from millrace.operators import forecast as fc
 from millrace.operators import learn as ml
 from millrace.registry.core import query, r, r_sql
 from millrace.registry.features import PLACES_SQL, RATINGS_SQL, daily_by_flag, places, ratings, trips
-from millrace.session import work_path
+from millrace.session import materialize, work_path
 
 RUN_DATE = dt.date(2024, 1, 30)
 NUMBERS = ["tripduration", "start_hour", "day_of_week"]
@@ -133,7 +133,7 @@ SELECT least(count(*), 5) AS most_clusters, count(*) AS members, true AS numbere
        {r_sql("sum(total_trips)", 3)} AS trips FROM p""")
 def _(t):
     """Clusters take in every place once; their members' trips add up."""
-    data = places(t)
+    data = materialize(places(t))  # medians, scaling, each step of the clustering and the profile read it
     assigned = ml.assign_clusters(ml.train_kmeans(data, PLACE_COLS), data)
     profile = ml.cluster_profile(
         assigned, {"total_trips": "avg_trips_per_station", "avg_duration": "avg_trip_duration"})
