@@ -37,6 +37,14 @@ def _angles(unit: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(unit @ centroids.T, -1.0, 1.0))
 
 
+def _slices(batches: Iterator[pd.DataFrame], lists: int) -> Iterator[pd.DataFrame]:
+    """Batches so short that a table of rows by lists stays small (a million numbers)."""
+    step = max(1, 1_000_000 // max(1, lists))
+    for pdf in batches:
+        for at in range(0, len(pdf), step):
+            yield pdf.iloc[at : at + step]
+
+
 def build_index(
     base: DataFrame,
     path: str,
@@ -73,9 +81,7 @@ def build_index(
     shared = spark.sparkContext.broadcast(centroids)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in _slices(batches, len(shared.value)):
             where, angle = np.full(len(pdf), NOWHERE), np.zeros(len(pdf))
             if len(shared.value):
                 m = _unit_rows(pdf["v"])
@@ -197,8 +203,8 @@ def search_index(
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, radius, centroids = shared.value
-        for pdf in batches:
-            if len(pdf) and len(names):
+        for pdf in _slices(batches, len(names)):
+            if len(names):
                 order = np.argsort(_angles(_unit_rows(pdf["v"]), centroids), axis=1, kind="stable")[:, :probes]
                 found = [[*names[o].tolist(), *always] for o in order]
             else:
@@ -208,8 +214,8 @@ def search_index(
     def left_over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The lists not read yet that could hold a row nearer than the k-th hit."""
         names, radius, centroids = shared.value
-        for pdf in batches:
-            if not len(pdf) or not len(names):
+        for pdf in _slices(batches, len(names)):
+            if not len(names):
                 continue
             unit = _unit_rows(pdf["v"])
             reach = np.arccos(np.clip(1.0 - pdf["limit"].fillna(2.0).to_numpy(), -1.0, 1.0))
