@@ -96,3 +96,11 @@ def test_hot_list_ties_and_empty_tables(spark):
     assert vi.search_index(spark, path, none.select(F.col("chunk_id").alias("query_id"), "embedding"), 5).count() == 0
     empty = work_path(spark, "index")
     assert vi.build_index(base.where("chunk_id = 1000001"), empty).count() == 0
+
+
+def test_batches_are_cut_by_the_number_of_lists():
+    import pandas as pd
+
+    whole = pd.DataFrame({"x": range(10_000)})
+    parts = list(vi._slices([whole], 4096))
+    assert max(map(len, parts)) * 4096 <= 1_000_000 and pd.concat(parts).equals(whole)

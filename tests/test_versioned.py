@@ -119,3 +119,11 @@ def test_odd_keys(spark):
     assert versioned.read(spark, empty).count() == 0
     versioned.merge(spark, empty, delta, ["a", "b"], ["v"])
     assert versioned.read(spark, empty).count() == 3
+
+
+def test_wide_rows_make_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versioned, "FILE_BYTES", 100_000)
+    df = spark.range(1000).selectExpr("id", "array_repeat(double(id), 100) AS v", "CAST(NULL AS string) AS s")
+    versioned.create(df, str(tmp_path / "t"), ["id"])
+    assert versioned.manifest(spark, str(tmp_path / "t")).count() == 9  # 816 bytes a row
+    assert versioned.read(spark, str(tmp_path / "t")).count() == 1000
