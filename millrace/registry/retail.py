@@ -186,7 +186,7 @@ SELECT CAST(day AS VARCHAR) AS metric_time, total_revenue, total_orders,
 FROM spine LEFT JOIN m USING (day)""")
 def _(t):
     out = semantic.metric_query(
-        semantic.orders_model(i.fct_orders(t)),
+        semantic.orders_model(i.fct_orders(t, dealt=True)),
         ["total_revenue", "total_orders", "avg_order_value"],
         spine=lh.time_spine_of(t.lineitem, "l_shipdate"),
     )
@@ -199,7 +199,7 @@ SELECT CAST(CAST(date_trunc('month', created_at) AS DATE) AS VARCHAR) AS metric_
        CAST(sum(total_amount) AS DOUBLE) / count(DISTINCT order_id) AS avg_order_value
 FROM fct GROUP BY 1, 2""")
 def _(t):
-    model = semantic.orders_model(i.fct_orders(t))
+    model = semantic.orders_model(i.fct_orders(t, dealt=True))
     out = semantic.metric_query(model, ["avg_order_value"], grain="month", dims=["product_id"])
     return out.withColumn("metric_time", text("metric_time"))
 

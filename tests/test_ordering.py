@@ -131,3 +131,23 @@ def test_trip_features_with_points(spark):
     out = f.trip_features(df, "k", "d", "t", "p", ("x1", "y1"), ("x2", "y2")).collect()
     assert len(out) == 1 and out[0]["day_of_week"] == 1 and out[0]["start_hour"] == 10
     assert abs(out[0]["distance_m"] - 111195) < 10
+
+
+def test_order_lines_are_dealt_by_their_number(spark, monkeypatch):
+    from millrace.plans import semantic
+    from millrace.registry import inputs as i
+
+    class T:
+        lineitem = spark.range(4000).selectExpr(
+            "id div 4 AS l_orderkey", "id % 7 AS l_partkey", "1.0D AS l_quantity", "CAST(id AS DOUBLE) AS l_extendedprice")
+        orders = spark.range(1000).selectExpr(
+            "id AS o_orderkey", "id % 9 AS o_custkey", "timestamp'2024-01-05' + make_interval(0, id % 3) AS o_orderdate")
+
+    T.spark = spark
+    monkeypatch.setattr(i, "LINES_PER_TASK", 100)
+    dealt = i.fct_orders(T, dealt=True)
+    # As many tasks as the lines need, whatever the session's number is; an order's lines in one of them.
+    assert dealt.rdd.getNumPartitions() == 40
+    ask = lambda fct: sorted(map(tuple, semantic.metric_query(
+        semantic.orders_model(fct), ["total_orders", "avg_order_value"], grain="month", dims=["product_id"]).collect()))
+    assert ask(dealt) == ask(i.fct_orders(T)) and len(ask(dealt)) == 21
