@@ -40,6 +40,33 @@ def test_vector_search_is_exact(spark, limits):
     assert first == list(range(7))
 
 
+def test_nearest_sorts_few_times_and_looks_at_few_pairs(monkeypatch):
+    # Copies of one vector, ids as text, distances closer than single precision tells apart.
+    q, b = vectors(200, 16, 5), vectors(6000, 16, 6, copies=300)
+    b[4000:4050] = b[3999] * (1 + 1e-9) + 1e-8 * vectors(50, 16, 7)
+    q[0], q[1] = b[0], b[3999]
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    ids = np.array([f"k{i:05}" for i in np.random.default_rng(8).permutation(6000)])
+    sorts, lexsort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorts.append(len(keys[-1])) or lexsort(keys))
+    best = rt._Nearest(unit(q), 5)
+    for at in range(0, 6000, 100):
+        best.offer(ids[at:at + 100], unit(b)[at:at + 100])
+    (found,) = best.hits(np.arange(200))
+    # A sort or two per 50,000 hits, not one per lot of vectors.
+    assert len(sorts) < 10
+    d = np.floor((1 - unit(q) @ unit(b).T) * 1e9 + 0.5) / 1e9
+    want = {(i, ids[j]) for i in range(200) for j in lexsort((ids, d[i]))[:5]}
+    assert set(zip(found["query_id"], found["base_id"], strict=True)) == want and len(found) == 1000
+
+
+def test_nearest_keeps_to_a_known_limit():
+    q, b = np.array([[1.0, 0.0]]), np.array([[0.0, 1.0], [0.6, 0.8], [1.0, 0.0]])
+    best = rt._Nearest(q, 2, np.array([0.4]))
+    best.offer(np.arange(3), b)
+    assert [f["base_id"].tolist() for f in best.hits(np.arange(1))] == [[2, 1]]
+
+
 def test_vector_search_edge_cases(spark):
     base = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", None)], "chunk_id string, embedding array<double>")
     queries = spark.createDataFrame([("q", [2.0, 0.0])], "query_id string, embedding array<double>")
