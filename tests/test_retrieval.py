@@ -226,6 +226,20 @@ def test_search_by_text_takes_in_everything(spark, data):
         assert np.allclose(got, want, atol=3e-9)
 
 
+def test_every_question_asks(spark, tmp_path):
+    from millrace.registry.core import QUERIES
+
+    spark.createDataFrame(
+        [(k, f"alpha{k} beta{k} gamma{k}\nother words of document{k}", "en", "a", 9) for k in range(5000, 5020)],
+        "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(
+        [(k, f"alpha{5000 + k} beta{5000 + k}") for k in range(1, 16)],
+        "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, per_query in (("text_vector_search", 40), ("text_hybrid_search", 5), ("hybrid_search", 1)):
+        hits = QUERIES[name](spark, str(tmp_path)).toPandas()
+        assert hits.groupby("query_id").size().to_dict() == {k: per_query for k in range(1, 16)}, name
+
+
 def test_a_question_finds_the_chunk_it_repeats(spark):
     from millrace.registry.texts import text_search
 
