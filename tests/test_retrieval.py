@@ -226,6 +226,19 @@ def test_search_by_text_takes_in_everything(spark, data):
         assert np.allclose(got, want, atol=3e-9)
 
 
+def test_every_stored_vector_asks(spark, tmp_path):
+    from millrace.registry.core import QUERIES
+
+    m = vectors(60, 8, 11)
+    spark.createDataFrame(
+        [(1001 + k, [float(v) for v in row], k % 3) for k, row in enumerate(m)],
+        "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    for name, k in (("vector_search", 50), ("vector_index_search", 10)):
+        hits = QUERIES[name](spark, str(tmp_path)).collect()
+        assert {(r["query_id"] - 1001, r["base_id"] - 1001) for r in hits} == brute(m, m, k)
+    assert QUERIES["vector_index_recall"](spark, str(tmp_path)).first()["queries"] == 60
+
+
 def test_every_question_asks(spark, tmp_path):
     from millrace.registry.core import QUERIES
 
