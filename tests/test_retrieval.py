@@ -273,3 +273,62 @@ def test_merged_chunks_have_the_vectors_of_their_texts(spark, data):
     rows = QUERIES["text_embedding_merge"](spark, data).collect()
     assert {r["state"] for r in rows} == {"old", "refreshed"} and all(r["of_its_text"] for r in rows)
     assert len({r["chunk_id"] for r in rows}) == len(rows)
+
+
+def test_vectors_are_stored_sparse_and_add_up_by_id(spark):
+    """Against the formula: repeated ids add up, a text without words or id has zeros; few numbers are kept."""
+    import hashlib
+
+    from millrace.registry.texts import stored_vectors
+
+    rows = [("a", "Red red Green"), ("b", "green tea, Ünder"), ("c", " ..."), ("d", None), ("e", "blue"), ("e", "red"), (None, "red")]
+    texts = spark.createDataFrame(rows, "id string, t string").repartition(3)
+    known = rt.word_frequencies(texts, "id", "t").cache()
+    assert {r["word"]: (r["df"], r["n"]) for r in known.collect()} == {
+        "red": (3, 7), "green": (2, 7), "tea": (1, 7), "ünder": (1, 7), "blue": (1, 7)}
+    words = {"a": ["red", "red", "green"], "b": ["green", "tea", "ünder"], "e": ["blue", "red"]}
+    df = {r["word"]: r["df"] for r in known.collect()}
+
+    def want(id):
+        v = np.zeros(512)
+        for w in words.get(id, []):
+            h = int(hashlib.md5(w.encode()).hexdigest()[:15], 16)
+            v[h % 512] += (1 if h // 512 % 2 == 0 else -1) * (np.log(8 / (df[w] + 1)) + 1)
+        return v / (np.linalg.norm(v) or 1.0)
+
+    stored = stored_vectors(texts, known, "t")
+    got = stored.collect()
+    assert sorted(map(str, [(r["id"], r["t"]) for r in got])) == sorted(map(str, rows))
+    for r in got:
+        assert np.allclose(r["embedding"], want(r["id"]), atol=1e-12) and len(r["terms"]["cells"]) <= 3
+    assert np.allclose(rt.hashed_vectors(texts.where("id = 'b'"), known, "id", "t").first()["embedding"], want("b"))
+    # Nothing of a vector is read where it isn't asked for.
+    assert "weights" not in stored.select("id")._jdf.queryExecution().toString().split("Physical Plan")[1]
+
+
+def test_words_of_a_block_in_lots():
+    rng = np.random.default_rng(3)
+    asked = [[f"w{k}" for k in rng.integers(0, 30, 5)] for _ in range(7)] + [[], ["none"]]
+    texts = [np.unique([f"w{k}" for k in rng.integers(0, 40, n)]).astype(object) for n in (9, 0, 3, 30, 1, 12)]
+    want = np.array([[sum(w in set(text) for w in query) for text in texts] for query in asked])
+    for most in (1, 20, 10**6):
+        lots = list(rt._Asked(asked).scores(texts, most))
+        assert [b for b, _, _ in lots] == [0, *[e for _, e, _ in lots[:-1]]] and lots[-1][1] == len(texts)
+        assert (np.hstack([score for _, _, score in lots]) == want).all()
+    assert not next(rt._Asked([[]]).scores(texts))[2].any()
+
+
+def test_candidates_by_words_never_become_rows(spark, monkeypatch):
+    """Every pair shares words, and each task still sends on k rows of a query; repeated ids count once."""
+    n, k = 400, 3
+    m, q = vectors(n, 6, 21), vectors(9, 6, 22)
+    rows = [(j, "some words that all have" if j % 4 else "words", [float(v) for v in row]) for j, row in enumerate(m)]
+    base = spark.createDataFrame([*rows, rows[1]], "chunk_id long, content string, embedding array<double>").repartition(4)
+    queries = spark.createDataFrame(
+        [(j, "Some words!", [float(v) for v in row]) for j, row in enumerate(q)], "query_id long, query_text string, embedding array<double>")
+    seen, latest = [], rt.latest_per_key
+    monkeypatch.setattr(rt, "latest_per_key", lambda df, *a: seen.append(df.count()) or latest(df, *a))
+    found = rt.lexical_candidates(base, queries, 2, k, block_hits=12).collect()
+    two = [j for j in range(n) if j % 4]
+    assert {(r["query_id"], r["chunk_id"]) for r in found} == {(i, two[j]) for i, j in brute(q, m[two], k)}
+    assert len(found) == len(q) * k and len(seen) > 1 and sum(seen) < 20 * len(q) * k
