@@ -104,3 +104,16 @@ def test_batches_are_cut_by_the_number_of_lists():
     whole = pd.DataFrame({"x": range(10_000)})
     parts = list(vi._slices([whole], 4096))
     assert max(map(len, parts)) * 4096 <= 1_000_000 and pd.concat(parts).equals(whole)
+
+
+def test_lists_of_a_query_stay_bits_on_the_driver(spark, base, index, monkeypatch):
+    """Every list is open to every query of the second pass, and a block's share of it is a bit for each."""
+    blocks, whole = [], vi._blocks
+    monkeypatch.setattr(vi, "_blocks", lambda *a: (blocks.append(b) or b for b in whole(*a)))
+    number = spark.read.parquet(f"{index}/lists").count()
+    queries = queries_of(base, 50)
+    vi.search_index(spark, index, queries, 2900, probes=1, certify=True)
+    assert len(blocks) > 1
+    for block in blocks:
+        assert {len(b) for b in block["lists"].to_pylist()} == {-(-number // 8)}
+    assert (np.unpackbits(vi._bits(blocks[-1]["lists"].to_pylist()), axis=1).sum(1) > number / 2).all()
