@@ -238,6 +238,15 @@ def _target_encoded(parts: DataFrame, names: Mapping[str, str], m: float = 20.0)
     return out
 
 
+#: Rows of a task that grows trees: a level of a tree is a job, so tasks with less to do cost more than they share out.
+ROWS_PER_TASK = 50_000
+
+
+def _in_few_tasks(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt to as many tasks as their number needs."""
+    return rows.repartition(max(1, -(-rows.count() // ROWS_PER_TASK)))
+
+
 def tune_gbt(
     df: DataFrame, label: str, num_cols: Sequence[str], cat_cols: Sequence[str] = (),
     space: Mapping[str, object] | None = None, n_trials: int = 20, parallelism: int = 2,
@@ -270,7 +279,8 @@ def tune_gbt(
     binned = Pipeline(stages=stages).fit(parts).transform(parts).withColumns({b: F.col(b) + F.lit(0.0) for b in bins})
     vector = VectorAssembler(inputCols=bins, outputCol=FEATURES, handleInvalid="keep")
     cells = vector.transform(binned.where(F.col("_part") != 0).groupBy(LABEL, *bins).agg(
-        F.count(F.lit(1)).cast("double").alias("_weight"))).select(LABEL, FEATURES, "_weight").persist()
+        F.count(F.lit(1)).cast("double").alias("_weight"))).select(LABEL, FEATURES, "_weight")
+    cells = _in_few_tasks(materialize(cells)).persist()
     held = vector.transform(binned.where(F.col("_part") == 0)).select(LABEL, FEATURES).persist()
     total = cells.agg(F.sum("_weight").alias("n")).first()["n"] or 1.0
 

@@ -203,3 +203,20 @@ def test_forecasts_continue_trend_and_week(spark):
         assert max(abs(r["forecast_value"] - value(140 + i)) for i, r in enumerate(s)) < 8
         assert all(abs(r["forecast_value"] - 5) < 1e-6 for r in flat)
         assert all(r["prediction_interval_lower_bound"] <= r["forecast_value"] <= r["prediction_interval_upper_bound"] for r in out)
+
+
+def test_few_rows_grow_trees_in_few_tasks(spark, monkeypatch):
+    """A level of a tree is a job: tasks go by the rows there are, whatever the session's number of partitions."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from millrace.operators import learn
+
+    rows = spark.range(2000, numPartitions=8).select(
+        "id", (F.col("id") % 40).alias("x"), (F.col("id") % 7).alias("z"), (F.col("id") % 2).cast("int").alias("y"))
+    seen, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df: seen.append((df.rdd.getNumPartitions(), df.count())) or fit(self, df))
+    learn.tune_gbt(rows, "y", ["x", "z"], space={"maxDepth": [2]}, n_trials=1, rounds=1, split_key="id")
+    monkeypatch.setattr(learn, "ROWS_PER_TASK", 100)
+    learn.tune_gbt(rows, "y", ["x", "z"], space={"maxDepth": [2]}, n_trials=1, rounds=1, split_key="id")
+    (few, n), (many, m) = seen
+    assert few == 1 and n == m and many == -(-m // 100) > 1
