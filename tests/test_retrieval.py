@@ -286,6 +286,10 @@ def test_vectors_are_stored_sparse_and_add_up_by_id(spark):
     known = rt.word_frequencies(texts, "id", "t").cache()
     assert {r["word"]: (r["df"], r["n"]) for r in known.collect()} == {
         "red": (3, 7), "green": (2, 7), "tea": (1, 7), "ünder": (1, 7), "blue": (1, 7)}
+    # Without the repeated id, texts are counted where they are: the same.
+    once = rt.word_frequencies(texts.where("id is null or id <> 'e'"), "id", "t")
+    assert {r["word"]: (r["df"], r["n"]) for r in once.collect()} == {
+        "red": (2, 5), "green": (2, 5), "tea": (1, 5), "ünder": (1, 5)}
     words = {"a": ["red", "red", "green"], "b": ["green", "tea", "ünder"], "e": ["blue", "red"]}
     df = {r["word"]: r["df"] for r in known.collect()}
 
